@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stressframe.plans import q_clean  # noqa: F401
+from stressframe.plans import q_clean, q_features  # noqa: F401
 from stressframe.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
