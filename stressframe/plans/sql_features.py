@@ -77,7 +77,7 @@ def quantile_caps(source: str, cols: list[str], q: float, name: str = "caps") ->
     """CTEs ``<name>_v``, ``<name>_r`` and ``<name>`` (column, cap): linear
     interpolation at q*(n-1) over 0-based ranks."""
     union = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {source} WHERE {c} IS NOT NULL AND NOT isnan({c})"
+        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {source} WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))"
         for c in cols
     )
     return f"""{name}_v AS ({union}),
@@ -92,3 +92,20 @@ def quantile_caps(source: str, cols: list[str], q: float, name: str = "caps") ->
 def capped(col: str, caps: str = "caps") -> str:
     cap = f"(SELECT cap FROM {caps} WHERE column_name='{col}')"
     return f"CASE WHEN {col} > {cap} THEN {cap} ELSE {col} END"
+
+
+def quantile_table(source: str, cols: list[str], probs: list[float], name: str = "qt") -> str:
+    """CTEs ending in ``<name>`` (column_name, prob, value) for several probabilities."""
+    union = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {source} WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))"
+        for c in cols
+    )
+    probs_sql = " UNION ALL ".join(f"SELECT CAST({p!r} AS DOUBLE) AS prob" for p in probs)
+    return f"""{name}_v AS ({union}),
+{name}_r AS (SELECT column_name, value, ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY value)-1 AS rk,
+  COUNT(*) OVER (PARTITION BY column_name) AS n FROM {name}_v),
+{name}_q AS ({probs_sql}),
+{name}_p AS (SELECT DISTINCT r.column_name, q.prob, q.prob*(r.n-1) AS pos FROM {name}_r r CROSS JOIN {name}_q q),
+{name} AS (SELECT p.column_name, p.prob, lo.value + (hi.value-lo.value)*(p.pos-FLOOR(p.pos)) AS value
+  FROM {name}_p p JOIN {name}_r lo ON lo.column_name=p.column_name AND lo.rk=FLOOR(p.pos)
+  JOIN {name}_r hi ON hi.column_name=p.column_name AND hi.rk=CEIL(p.pos))"""
