@@ -27,12 +27,13 @@ def long_values(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> Dat
 
 
 def exact_quantiles(
-    df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = ()
+    df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = (), rows_per_bucket: int | None = None
 ) -> DataFrame:
     """Rows (*by, column, prob, value) for each column and probability."""
     by = tuple(by)
     counted = long_values(df, cols, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("w"))
-    ranked = running_totals(counted, "value", ["w"], by=(*by, "column"))
+    extra = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
+    ranked = running_totals(counted, "value", ["w"], by=(*by, "column"), **extra)
     ranked = ranked.withColumn("before", F.col("cum_w") - F.col("w"))
     probs_df = df.sparkSession.createDataFrame([(float(p),) for p in probs], "prob double")
     sizes = counted.groupBy(*by, "column").agg(F.sum("w").alias("n"))
