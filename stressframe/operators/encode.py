@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stressframe.functions.columns import non_finite_to_null
-from stressframe.operators.quantile import exact_quantiles
+from stressframe.operators.quantile import quantile_rows
 
 MAX_LEVELS = 10_000  # one-hot is for low-cardinality columns; ids must be dropped first
 
@@ -104,7 +104,7 @@ class ImputeScale(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsW
 
     def _fit(self, df: DataFrame) -> "ImputeScaleModel":
         cols = self.getInputCols()
-        med = {r["column"]: r["value"] for r in exact_quantiles(df, cols, [0.5]).collect()}
+        med = {r["column"]: r["value"] for r in quantile_rows(df, cols, [0.5])}
         filled = [F.coalesce(F.col(c).cast("double"), F.lit(med.get(c))) for c in cols]
         row = df.agg(
             *[F.avg(x).alias(f"m{i}") for i, x in enumerate(filled)],

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stressframe.functions.columns import clip_lower, clip_upper, flag, ratio, right_closed_bins
-from stressframe.operators.quantile import exact_quantiles
+from stressframe.operators.quantile import quantile_rows
 
 # The epsilon guards, thresholds and bins of the feature formulas.
 EPS = 1e-5
@@ -238,7 +238,7 @@ class ClipLimits(Estimator, _ClipParams, DefaultParamsReadable, DefaultParamsWri
             row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, acc).alias(c) for c in cols]).first()
             limits = {c: row[c] for c in cols if row[c] is not None}
         elif cols:
-            for r in exact_quantiles(df, cols, [q]).collect():  # one row per column
+            for r in quantile_rows(df, cols, [q]):  # one row per column
                 if r["value"] is not None:
                     limits[r["column"]] = r["value"]
         names = [c for c in cols if c in limits]

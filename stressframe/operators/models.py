@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from stressframe.operators.encode import ImputeScale
 
 SEED = 42
 ROWS_PER_PARTITION = 500_000  # ~200 MB of assembled rows per training partition
+MIN_ROWS_PER_TASK = 10_000  # below this per task, scheduling overhead dominates a tree level
 DEFAULT_TREES = 40  # 1,000-tree presets at learning rate 0.03 -> ~40 trees at 0.1
 DEFAULT_STEP = 0.1
 
@@ -64,38 +65,60 @@ PRESETS = {
 def materialize(df: DataFrame) -> DataFrame:
     """Write an iterative-fit input to the checkpoint folder (lineage cut:
     k x m fits and executor loss never recompute the derivation) and size its
-    partitions by rows, not by cores."""
+    partitions by rows: at least one task per 10k rows up to the cluster's
+    parallelism, and one per ~500k rows beyond that."""
     import math
 
     from stressframe.session import cut_lineage
 
     df = cut_lineage(df)
     n = df.count()
-    parts = max(1, math.ceil(n / ROWS_PER_PARTITION))
-    return df.coalesce(parts) if df.rdd.getNumPartitions() > parts else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(cores, math.ceil(n / MIN_ROWS_PER_TASK)), math.ceil(n / ROWS_PER_PARTITION))
+    current = df.rdd.getNumPartitions()
+    if current > parts:
+        return df.coalesce(parts)
+    if current < parts:
+        # one shuffle from the checkpoint files; recomputable from them on loss
+        return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    return df
 
 
 @dataclass
 class Prepared:
     data: DataFrame           # key, label, fold?, features (vector)
     feature_names: list[str]
-    prep_model: PipelineModel  # indexers + assembler
+    prep_model: PipelineModel  # indexers, missing-value fill, assembler
+
+
+MISSING_SENTINEL = -1.0e9  # below every real value: trees route missing inputs to one side
 
 
 def prepare(
-    df: DataFrame, label: str, features: list[str], categorical: list[str] = (), keep: tuple[str, ...] = ()
+    df: DataFrame, label: str, features: list[str], categorical: list[str] = (), keep: tuple[str, ...] = (),
+    missing: float | None = MISSING_SENTINEL,
 ) -> Prepared:
-    """Index categoricals (fitted levels, unseen -> extra index, ENC-2) and
-    assemble one vector column ``features``."""
+    """Index categoricals (fitted levels, unseen -> extra index, ENC-2), map
+    missing numeric inputs to ``missing`` (the boosting libraries take NaN
+    natively; Spark's trees reject it) and assemble one vector ``features``.
+    Every step is a pipeline stage, so a saved model scores raw rows."""
     stages = []
     cols = []
+    types = {f.name: f.dataType for f in df.schema.fields}
+    fills = []
     for c in features:
         if c in categorical:
             stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
                                         stringOrderType="alphabetAsc"))
             cols.append(f"{c}__idx")
+        elif missing is not None:
+            x = f"nanvl(`{c}`, NULL)" if types[c].typeName() in ("double", "float") else f"`{c}`"
+            fills.append(f"CAST(coalesce({x}, {missing!r}) AS DOUBLE) AS `{c}__f`")
+            cols.append(f"{c}__f")
         else:
             cols.append(c)
+    if fills:
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(fills)} FROM __THIS__"))
     stages.append(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"))
     model = Pipeline(stages=stages).fit(df)
     data = model.transform(df).select(*keep, label, "features")

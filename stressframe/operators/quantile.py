@@ -13,6 +13,7 @@ Interpolation: ``lo + (hi - lo) * (pos - floor(pos))`` with ``pos = q*(n-1)``
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +27,20 @@ def long_values(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> Dat
     return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def value_counts(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, column, value, w): one row per distinct value (map-side combined)."""
+    return long_values(df, cols, tuple(by)).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("w"))
+
+
 def exact_quantiles(
-    df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = (), rows_per_bucket: int | None = None
+    df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = (), rows_per_bucket: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows (*by, column, prob, value) for each column and probability."""
+    """Rows (*by, column, prob, value) for each column and probability.
+    ``counted`` may pass a precomputed (persisted) ``value_counts``."""
     by = tuple(by)
-    counted = long_values(df, cols, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("w"))
+    if counted is None:
+        counted = value_counts(df, cols, by)
     extra = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
     ranked = running_totals(counted, "value", ["w"], by=(*by, "column"), **extra)
     ranked = ranked.withColumn("before", F.col("cum_w") - F.col("w"))
@@ -58,7 +67,17 @@ def exact_quantiles(
     )
 
 
+def quantile_rows(df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = ()) -> list:
+    """Collected quantiles (bounded: groups x columns x probabilities). The
+    per-value counts are persisted for the few passes of the computation, so
+    ``df``'s lineage runs once, and released before returning."""
+    counted = value_counts(df, cols, by).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return exact_quantiles(df, cols, probs, by, counted=counted).collect()
+    finally:
+        counted.unpersist()
+
+
 def quantile_map(df: DataFrame, cols: list[str], prob: float) -> dict[str, float]:
     """Driver-side {column: quantile} (one value per column: bounded)."""
-    rows = exact_quantiles(df, cols, [prob]).collect()
-    return {r["column"]: r["value"] for r in rows}
+    return {r["column"]: r["value"] for r in quantile_rows(df, cols, [prob])}
