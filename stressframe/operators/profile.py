@@ -158,3 +158,27 @@ def describe_exact(df: DataFrame, cols: list[str]) -> DataFrame:
         F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("p75"),
     )
     return m.join(pivot, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def head_by_key(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """First ``n`` rows in key order (SRT-4; file order is not a Spark order).
+    A top-n: each task keeps n rows, the driver-side merge holds n x tasks."""
+    return df.orderBy(key).limit(n)
+
+
+def column_kinds(df: DataFrame) -> DataFrame:
+    """(column, kind, non_null) with kind numeric / categorical / other from
+    the schema (PRJ-4, PRJ-5) and non-null counts in one pass."""
+    from stressframe.schemas import CATEGORICAL_TYPES, NUMERIC_TYPES
+
+    fields = df.schema.fields
+    agg = df.agg(*[F.count(F.col(f.name)).alias(f"n{i}") for i, f in enumerate(fields)])
+
+    def kind(t):
+        return "numeric" if isinstance(t, NUMERIC_TYPES) else "categorical" if isinstance(t, CATEGORICAL_TYPES) else "other"
+
+    rows = F.array(
+        *[F.struct(F.lit(f.name).alias("column"), F.lit(kind(f.dataType)).alias("kind"), F.col(f"n{i}").alias("non_null"))
+          for i, f in enumerate(fields)]
+    )
+    return agg.select(F.inline(rows))

@@ -198,3 +198,29 @@ def _fill_sql() -> str:
 def q_fill_non_finite(spark, sf_dir):
     df = add_features(risk_customer(spark, sf_dir), "base").select("customer_id", *BASE_COLS)
     return fill_non_finite(df, 0.0, BASE_COLS)
+
+
+def _kinds_sql() -> str:
+    def kind(f):
+        if isinstance(f.dataType, (T.IntegerType, T.LongType, T.DoubleType)):
+            return "numeric"
+        return "categorical" if isinstance(f.dataType, (T.StringType, T.BooleanType)) else "other"
+
+    return f"{W1} " + " UNION ALL ".join(
+        f"SELECT '{f.name}' AS column, '{kind(f)}' AS kind, COUNT({f.name}) AS non_null FROM risk_customer"
+        for f in V1_SCHEMA.fields
+    )
+
+
+@query("selected_types", _kinds_sql())
+def q_selected_types(spark, sf_dir):
+    return P.column_kinds(risk_customer(spark, sf_dir))
+
+
+@query(
+    "first_rows_by_key",
+    f"{W1} SELECT * FROM risk_customer ORDER BY customer_id LIMIT 5",
+)
+def q_first_rows(spark, sf_dir):
+    """First five customers in key order (SRT-4): a top-n report, the limit is the feature."""
+    return P.head_by_key(risk_customer(spark, sf_dir), "customer_id", 5)
