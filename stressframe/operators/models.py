@@ -464,3 +464,44 @@ def scaled_frames(train: DataFrame, apply_to: DataFrame, numeric: list[str], lab
         return asm.transform(scaler.transform(df)).select(*keep, label, "features")
 
     return build(train), build(apply_to), scaler
+
+
+class Predictor:
+    """Scoring facade (UDF-4, POL-1, POL-2): feature set + frozen caps + stack
+    ``PipelineModel``; saved as one folder, applied as chained transforms."""
+
+    def __init__(self, feature_set: str, stack_model: PipelineModel, caps=None):
+        self.feature_set = feature_set
+        self.stack_model = stack_model
+        self.caps = caps
+
+    def features(self, df: DataFrame) -> DataFrame:
+        from stressframe.operators.features import add_features
+
+        out = add_features(df, self.feature_set)
+        return self.caps.transform(out) if self.caps is not None else out
+
+    def predict(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` columns, per-base probabilities and the stacked ``probability``."""
+        return score_stack(self.stack_model, self.features(df), keep)
+
+    def save(self, path: str) -> None:
+        self.stack_model.write().overwrite().save(f"{path}/stack")
+        if self.caps is not None:
+            self.caps.write().overwrite().save(f"{path}/caps")
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(self.feature_set, self.caps is not None)], "feature_set string, has_caps boolean") \
+            .coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, path: str) -> "Predictor":
+        from pyspark.sql import SparkSession
+
+        from stressframe.operators.features import ClipLimitsModel
+
+        spark = SparkSession.getActiveSession()
+        meta = spark.read.json(f"{path}/meta").first()
+        caps = ClipLimitsModel.load(f"{path}/caps") if meta["has_caps"] else None
+        return cls(meta["feature_set"], PipelineModel.load(f"{path}/stack"), caps)

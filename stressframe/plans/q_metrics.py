@@ -204,7 +204,7 @@ def _vote_frame(spark, sf_dir):
 
 
 def _vote_sql(weights) -> str:
-    num = " + ".join(f"{w}*{e}" for w, e in zip(weights, _VOTE_COLS.values()))
+    num = " + ".join(f"({w}*({e}))" for w, e in zip(weights, _VOTE_COLS.values()))
     return f"{W2} SELECT statement_id, ({num})/{float(sum(weights))}e0 AS probability FROM stress_statement"
 
 

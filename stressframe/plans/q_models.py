@@ -166,3 +166,29 @@ def q_vote_ensemble(spark, sf_dir):
     )
     rec = recall_of(pred, TARGET_V1, "predicted").select("recall")
     return auc.crossJoin(best).crossJoin(rec)
+
+
+@query("stack_scored_statements")
+def q_stack_scored(spark, sf_dir):
+    """End to end (train, then score, then decide): clean -> features -> caps
+    -> stacked bases + meta refit on all rows -> one Predictor -> every
+    statement scored through it -> calibrated probability, tier, verdict
+    (MOD-12, MOD-17, POL-1, POL-2, POL-3..13)."""
+    from stressframe.operators.clean import clean
+    from stressframe.operators.features import CLIP_V2, ClipLimits, drop_ids
+    from stressframe.operators.policy import assess
+    from stressframe.sources.derive import stress_statement
+
+    raw = MD.materialize(drop_ids(clean(stress_statement(spark, sf_dir), TARGET_V2), ID_COLUMNS))
+    caps = ClipLimits(inputCols=list(CLIP_V2)).fit(add_features(raw, "v2"))
+    t = MD.materialize(stratified_folds(caps.transform(add_features(raw, "v2")), TARGET_V2, KEY2, k=5, seed=MD.SEED))
+    cats = [c for c in V2_MODEL_COLUMNS if c in categorical_columns(t)]
+    prep = MD.prepare(t, TARGET_V2, list(V2_MODEL_COLUMNS), cats, keep=(KEY2, "fold"))
+    res = MD.stack(prep, BASES, TARGET_V2, KEY2, refit=True)
+    predictor = MD.Predictor("v2", res.model, caps)
+    scored = predictor.predict(raw, [KEY2, TARGET_V2])
+    feats = predictor.features(raw).select(KEY2, "liquidity_ratio", "savings_balance", "total_spend", "monthly_income",
+                                            "unified_stress_index", "gambling_ratio", "delayed_liquidity_crunch",
+                                            "failed_autodebit_count", "credit_utilization_ratio")
+    decided = assess(scored.join(feats, KEY2), "probability")
+    return decided.select(KEY2, TARGET_V2, "probability", "final_probability", "risk_tier", "status", "verdict")

@@ -9,9 +9,12 @@ last-bit differences in order-dependent double sums).
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"  # compare raw doubles, no tolerance
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -35,7 +38,7 @@ def _norm(v):
             return None
         if v == 0:
             return 0.0
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):

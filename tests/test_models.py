@@ -66,3 +66,19 @@ def test_encoders_persist(spark, tmp_dir):
     mean = sum(filled) / 4
     std = (sum((v - mean) ** 2 for v in filled) / 4) ** 0.5  # population std
     assert vals == pytest.approx([(v - mean) / std for v in filled], abs=1e-12)
+
+
+def test_predictor_round_trip(spark, stacked, tmp_dir):
+    from stressframe.operators.features import CLIP_V2, ClipLimits, add_features
+    from stressframe.sources.derive import stress_statement
+
+    prep, res = stacked
+    raw = stress_statement(spark, SMALL).drop("customer_id", "week_number")
+    caps = ClipLimits(inputCols=list(CLIP_V2)).fit(add_features(raw, "v2"))
+    pred = MD.Predictor("v2", res.model, caps)
+    pred.save(os.path.join(tmp_dir, "predictor"))
+    back = MD.Predictor.load(os.path.join(tmp_dir, "predictor"))
+    a = pred.predict(raw, ["statement_id"])
+    b = back.predict(raw, ["statement_id"]).withColumnRenamed("probability", "p2")
+    assert a.count() == raw.count()
+    assert a.join(b, "statement_id").where(F.abs(F.col("probability") - F.col("p2")) > 1e-12).count() == 0
