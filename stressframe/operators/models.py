@@ -195,6 +195,16 @@ def prob1(name: str) -> Column:
     return vector_to_array(F.col(f"pv_{name}"))[1]
 
 
+def fit_concurrency(df: DataFrame, requested: int | None = None, cap: int = 8) -> int:
+    """Concurrent fits: small inputs leave cores idle, so several fits share
+    the cluster; once one input spans the cluster (partitions >= cores) fits
+    run one after another, each using all executors and caching one copy."""
+    if requested:
+        return max(1, requested)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(cap, cores // max(1, df.rdd.getNumPartitions())))
+
+
 @dataclass
 class FoldFit:
     name: str
@@ -255,7 +265,7 @@ def out_of_fold(
     trees: int = DEFAULT_TREES,
     weighting=None,
     early_stopping: bool = True,
-    parallelism: int = 8,
+    parallelism: int | None = None,
 ) -> OOFResult:
     """k x m fits; returns one OOF row per input row with ``prob_<name>``
     columns (MOD-11, SET-1). ``learners`` maps output name -> preset kind."""
@@ -268,7 +278,7 @@ def out_of_fold(
         held = data.where(F.col(fold_col) == f) if early_stopping else None
         return FoldFit(name, f, _fit_one(train, kind, name, label, trees, weighting, held))
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
         fits = list(pool.map(run, jobs))
     parts = []
     for f in range(k):
@@ -307,7 +317,7 @@ def stack(
     k: int = 5,
     trees: int = DEFAULT_TREES,
     refit: bool = True,
-    parallelism: int = 8,
+    parallelism: int | None = None,
 ) -> StackResult:
     """Two-level stack (MOD-12): base OOF scores, meta CV on the same folds
     (SPL-3), then bases refit on all rows and the meta model on all OOF rows."""
@@ -332,6 +342,8 @@ def stack(
     model = None
     if refit:
         model = _refit_stack(prep, bases, label, trees, oof, cols, parallelism)
+    # everything downstream reads the checkpointed OOF table
+    prep.data.unpersist()
     return StackResult(oof.join(meta_oof, key), coefs, model)
 
 
@@ -343,7 +355,7 @@ def _refit_stack(prep: Prepared, bases: dict[str, str], label: str, trees: int,
         name, kind = item
         return _fit_one(data, kind, name, label, trees, None, None)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
         base_models = list(pool.map(run, bases.items()))
     # level-2 input: [p0, p1] of each base; the slicer keeps the p1 entries
     asm2 = VectorAssembler(inputCols=[f"pv_{n}" for n in bases], outputCol="level2_all")
@@ -405,7 +417,7 @@ def random_search(
     k: int = 3,
     trials: int = 6,
     seed: int = SEED,
-    parallelism: int = 8,
+    parallelism: int | None = None,
 ):
     """Trials x folds fits; returns (trials table (trial, params, fold, auc),
     best params, refit model on all rows)."""
@@ -423,7 +435,7 @@ def random_search(
         model = est.fit(data.where(F.col(fold_col) != f))
         return t, f, model
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
         fits = list(pool.map(run, jobs))
     parts = [
         m.transform(data.where(F.col(fold_col) == f)).select(

@@ -178,3 +178,33 @@ def q_scenarios(spark, sf_dir):
         [(name, int(counts[f"n{i}"])) for i, (name, _) in enumerate(probs)], "profile string, n_riskier long"
     )
     return scen.join(riskier, "profile")
+
+
+def _stream_sql() -> str:
+    from stressframe.plans.q_features import _T2_SELECT, _T2_SQL
+
+    final = _FINAL
+    rules = " OR ".join(f"COALESCE({r}, FALSE)" for name, r in _RULES_SQL.items() if dict((n, i) for n, i, _ in P.FACTORS)[name] > 0)
+    return (
+        f"{_T2_SQL}, t AS (SELECT {_T2_SELECT} FROM feat), "
+        f"s AS (SELECT *, {final} AS final_probability FROM t) "
+        f"SELECT statement_id, final_probability, {_chain('final_probability', P.TIERS, P.TIER_TOP)} AS risk_tier, "
+        f"CASE WHEN final_probability > 0.5e0 THEN '{P.VERDICT_HIGH}' WHEN {rules} THEN '{P.VERDICT_WATCH}' "
+        f"ELSE '{P.VERDICT_HEALTHY}' END AS verdict FROM s"
+    )
+
+
+@query("stream_scored_statements", _stream_sql())
+def q_stream_scored(spark, sf_dir):
+    """The stateless path run as a Structured Streaming query: clean ->
+    features -> caps frozen from the batch table -> policy (§2.15)."""
+    from stressframe.operators.clean import clean
+    from stressframe.operators.features import CLIP_V2, ClipLimits
+    from stressframe.schemas import TARGET_V2
+    from stressframe.session import ensure_checkpoint_dir
+    from stressframe.streaming.stream import stream_scored_statements
+
+    raw = stress_statement(spark, sf_dir)
+    caps = ClipLimits(inputCols=list(CLIP_V2)).fit(add_features(clean(raw, TARGET_V2), "v2"))
+    out = stream_scored_statements(spark, raw, caps, ensure_checkpoint_dir(spark))
+    return out.select("statement_id", "final_probability", "risk_tier", "verdict")

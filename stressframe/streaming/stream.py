@@ -43,3 +43,21 @@ def start_to_parquet(df: DataFrame, out_path: str, checkpoint: str, available_no
     writer = writer.outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def stream_scored_statements(spark: SparkSession, statements: DataFrame, caps: ClipLimitsModel,
+                             workdir: str, files: int = 4) -> DataFrame:
+    """Land ``statements`` as files, score them with a Structured Streaming
+    query (one file per trigger, exactly-once parquet sink) and return what
+    the stream wrote. ``workdir`` must be shared storage on a cluster."""
+    import uuid
+
+    run = uuid.uuid4().hex
+    src, out, ckpt = (f"{workdir}/stream-{run}/{p}" for p in ("in", "out", "ckpt"))
+    statements.repartition(files).write.parquet(src)
+    stream = score_statements(statement_stream(spark, src, schema=statements.schema, max_files_per_trigger=1), caps)
+    query = start_to_parquet(stream.drop("factors", "actions"), out, ckpt)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.parquet(out)
