@@ -218,7 +218,7 @@ class OOFResult:
     fits: list[FoldFit] = field(default_factory=list)
 
 
-def _fit_one(train: DataFrame, kind: str, name: str, label: str, trees: int, weighting, early_stop_on: DataFrame | None):
+def fit_one(train: DataFrame, kind: str, name: str, label: str, trees: int, weighting, early_stop_on: DataFrame | None):
     """Fit one learner on ``train``; for boosting with early stopping the
     held-out fold is appended as the validation set (the reference stops on
     the fold it scores)."""
@@ -276,7 +276,7 @@ def out_of_fold(
         f, name, kind = job
         train = data.where(F.col(fold_col) != f)
         held = data.where(F.col(fold_col) == f) if early_stopping else None
-        return FoldFit(name, f, _fit_one(train, kind, name, label, trees, weighting, held))
+        return FoldFit(name, f, fit_one(train, kind, name, label, trees, weighting, held))
 
     with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
         fits = list(pool.map(run, jobs))
@@ -353,7 +353,7 @@ def _refit_stack(prep: Prepared, bases: dict[str, str], label: str, trees: int,
 
     def run(item):
         name, kind = item
-        return _fit_one(data, kind, name, label, trees, None, None)
+        return fit_one(data, kind, name, label, trees, None, None)
 
     with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
         base_models = list(pool.map(run, bases.items()))

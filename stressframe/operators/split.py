@@ -25,7 +25,10 @@ DEFAULT_SEED = 42
 MAX_BITS = 16
 
 
-def _hash_rank(df: DataFrame, keys: list[str], seed: int, by: tuple[str, ...], rows_per_bucket: int) -> DataFrame:
+def hash_rank(df: DataFrame, keys: list[str], seed: int, by: tuple[str, ...], rows_per_bucket: int) -> DataFrame:
+    """Add ``_rank`` (1-based, within ``by``, in ``xxhash64(keys, seed)`` order,
+    ties by key) and ``_n`` (group size). Buckets are hash prefixes sized from
+    one count, so each window partition holds about ``rows_per_bucket`` rows."""
     n = df.count()
     bits = min(MAX_BITS, max(0, math.ceil(math.log2(max(1.0, n / rows_per_bucket)))))
     h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
@@ -53,10 +56,10 @@ def stratified_folds(
     keys = [key] if isinstance(key, str) else list(key)
     if group is not None:
         groups = df.select(group).distinct()
-        ranked = _hash_rank(groups, [group], seed, (), rows_per_bucket)
+        ranked = hash_rank(groups, [group], seed, (), rows_per_bucket)
         folds = ranked.select(group, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int").alias("fold"))
         return df.join(folds, on=group, how="inner")
-    ranked = _hash_rank(df, keys, seed, (label,), rows_per_bucket)
+    ranked = hash_rank(df, keys, seed, (label,), rows_per_bucket)
     return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_n")
 
 
@@ -71,6 +74,6 @@ def stratified_split(
     """Add ``is_test``: the first ``round(test_fraction * n_label)`` rows of
     each label in hash order are the test set."""
     keys = [key] if isinstance(key, str) else list(key)
-    ranked = _hash_rank(df, keys, seed, (label,), rows_per_bucket)
+    ranked = hash_rank(df, keys, seed, (label,), rows_per_bucket)
     n_test = F.floor(F.lit(float(test_fraction)) * F.col("_n") + F.lit(0.5))
     return ranked.withColumn("is_test", (F.col("_rank") <= n_test).cast("int")).drop("_rank", "_n")

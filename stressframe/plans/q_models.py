@@ -118,7 +118,7 @@ def q_permutation_importance(spark, sf_dir):
     t = MD.materialize(transform_v2(spark, sf_dir))
     cats = [c for c in V2_MODEL_COLUMNS if c in categorical_columns(t)]
     prep = MD.prepare(t, TARGET_V2, list(V2_MODEL_COLUMNS), cats, keep=(KEY2,))
-    model = MD._fit_one(prep.data, "xgb", "xgb", TARGET_V2, MD.DEFAULT_TREES, None, None)
+    model = MD.fit_one(prep.data, "xgb", "xgb", TARGET_V2, MD.DEFAULT_TREES, None, None)
 
     def score(df):
         return model.transform(prep.prep_model.transform(df)).withColumn("probability", MD.prob1("xgb"))
@@ -150,7 +150,7 @@ def q_vote_ensemble(spark, sf_dir):
     )
     scored = test
     for name in ("xgb", "gb", "rf", "et"):
-        model = MD._fit_one(train, name, name, TARGET_V1, MD.DEFAULT_TREES, "ratio" if name == "xgb" else None, None)
+        model = MD.fit_one(train, name, name, TARGET_V1, MD.DEFAULT_TREES, "ratio" if name == "xgb" else None, None)
         scored = model.transform(scored).withColumn(f"prob_{name}", MD.prob1(name))
     w0, w1 = MD.class_weights(scaled_train, TARGET_V1, "balanced")
     lr_data = scaled_train.withColumn("_w", MD.weight_column(TARGET_V1, w0, w1))
