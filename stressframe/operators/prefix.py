@@ -24,10 +24,11 @@ MAX_BUCKETS = 4096
 _GRID = 1024  # quantile grid probed in the single statistics pass
 
 
-def quantile_buckets(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def quantile_buckets(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame | None:
     """Add ``_bucket``: contiguous ranges of ``order_col`` holding about
     ``rows_per_bucket`` rows each. One statistics pass (count + grid of
-    approximate quantiles); the boundaries collected are bounded by the grid."""
+    approximate quantiles); the boundaries collected are bounded by the grid.
+    Returns None when everything fits in one bucket."""
     stats = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx(F.col(order_col).cast("double"), [i / _GRID for i in range(1, _GRID)], 10 * _GRID).alias("q"),
@@ -35,7 +36,7 @@ def quantile_buckets(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_
     n, grid = stats["n"], stats["q"] or []
     nb = min(MAX_BUCKETS, _GRID, max(1, math.ceil(n / rows_per_bucket)))
     if nb == 1 or not grid:
-        return df.withColumn("_bucket", F.lit(0.0))
+        return None
     step = len(grid) / nb
     picks = sorted({float(grid[min(len(grid) - 1, int(round(step * i)) - 1)]) for i in range(1, nb)})
     splits = [-math.inf, *[b for b in picks if math.isfinite(b)], math.inf]
@@ -52,6 +53,7 @@ def running_totals(
     bucket_col: str | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     prefix: str = "cum_",
+    single_bucket: bool = False,
 ) -> DataFrame:
     """Add ``cum_<c>`` = inclusive running sum of each ``c`` in ``sum_cols``,
     ascending by ``order_cols`` within each ``by`` group, plus ``total_<c>``
@@ -63,8 +65,12 @@ def running_totals(
     """
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     by = list(by)
+    if single_bucket:
+        return _one_bucket(df, order_cols, sum_cols, by, prefix)
     if bucket_col is None:
         bucketed = quantile_buckets(df, order_cols[0], rows_per_bucket)
+        if bucketed is None:
+            return _one_bucket(df, order_cols, sum_cols, by, prefix)
         bucket_col = "_bucket"
     else:
         bucketed = df
@@ -90,3 +96,15 @@ def running_totals(
     if bucket_col == "_bucket":
         drop.append("_bucket")
     return out.drop(*drop)
+
+
+def _one_bucket(df: DataFrame, order_cols: list[str], sum_cols: list[str], by: list[str], prefix: str) -> DataFrame:
+    """Everything within one bucket (at most ``rows_per_bucket`` keys per
+    group): running and total sums share one exchange and sort, no join."""
+    running = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*by)
+    return df.select(
+        "*",
+        *[F.sum(c).over(whole).alias(f"total_{c}") for c in sum_cols],
+        *[F.sum(c).over(running).alias(f"{prefix}{c}") for c in sum_cols],
+    )

@@ -44,12 +44,11 @@ def exact_quantiles(
     extra = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
     ranked = running_totals(counted, "value", ["w"], by=(*by, "column"), **extra)
     ranked = ranked.withColumn("before", F.col("cum_w") - F.col("w"))
-    probs_df = df.sparkSession.createDataFrame([(float(p),) for p in probs], "prob double")
     sizes = counted.groupBy(*by, "column").agg(F.sum("w").alias("n"))
     pos = F.col("prob") * (F.col("n") - 1)
-    targets = sizes.crossJoin(F.broadcast(probs_df)).select(
-        *by, "column", "prob", pos.alias("pos"), F.floor(pos).alias("lo"), F.ceil(pos).alias("hi")
-    )
+    targets = sizes.select(
+        *by, "column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
+    ).select(*by, "column", "prob", pos.alias("pos"), F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"))
     hit = ranked.join(targets, on=[*by, "column"], how="inner").where(
         ((F.col("before") <= F.col("lo")) & (F.col("lo") < F.col("cum_w")))
         | ((F.col("before") <= F.col("hi")) & (F.col("hi") < F.col("cum_w")))

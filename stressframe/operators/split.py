@@ -32,10 +32,13 @@ def hash_rank(df: DataFrame, keys: list[str], seed: int, by: tuple[str, ...], ro
     n = df.count()
     bits = min(MAX_BITS, max(0, math.ceil(math.log2(max(1.0, n / rows_per_bucket)))))
     h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    bucket = F.shiftright(F.col("_h"), 64 - bits) if bits > 0 else F.lit(0).cast("long")
-    keyed = df.withColumn("_h", h).withColumn("_b", bucket).withColumn("_one", F.lit(1))
-    ranked = running_totals(keyed, ["_h", *keys], ["_one"], by=by, bucket_col="_b")
-    return ranked.withColumnRenamed("cum__one", "_rank").withColumnRenamed("total__one", "_n").drop("_h", "_b", "_one")
+    keyed = df.withColumn("_h", h).withColumn("_one", F.lit(1))
+    if bits > 0:
+        keyed = keyed.withColumn("_b", F.shiftright(F.col("_h"), 64 - bits))
+        ranked = running_totals(keyed, ["_h", *keys], ["_one"], by=by, bucket_col="_b").drop("_b")
+    else:
+        ranked = running_totals(keyed, ["_h", *keys], ["_one"], by=by, single_bucket=True)
+    return ranked.withColumnRenamed("cum__one", "_rank").withColumnRenamed("total__one", "_n").drop("_h", "_one")
 
 
 def stratified_folds(

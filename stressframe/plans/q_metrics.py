@@ -80,9 +80,9 @@ def q_best_f1(spark, sf_dir):
 
 def _predicted(spark, sf_dir):
     df = stress_statement(spark, sf_dir)
-    best = M.best_f1_threshold(df, LABEL, SCORE).select(F.col("threshold").alias("_t"))
-    # one row: a scalar broadcast (JOIN-3)
-    return df.crossJoin(F.broadcast(best)).withColumn("predicted", M.predict_label(SCORE, "_t"))
+    # the fitted threshold is one scalar: applied as a literal (JOIN-3)
+    t = M.best_f1_threshold(df, LABEL, SCORE).first()["threshold"]
+    return df.withColumn("predicted", M.predict_label(SCORE, float(t)))
 
 
 @query(

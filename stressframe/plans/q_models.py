@@ -159,13 +159,15 @@ def q_vote_ensemble(spark, sf_dir):
     lr_scores = lr.transform(scaled_test).select("customer_id", MD.prob1("lr").alias("prob_lr"))
     scored = scored.select("customer_id", TARGET_V1, *[f"prob_{n}" for n in ("xgb", "gb", "rf", "et")]).join(lr_scores, "customer_id")
     voted = soft_vote(scored, [f"prob_{n}" for n in VOTE_MODELS], list(VOTE_MODELS.values()))
-    auc = roc_auc(voted, TARGET_V1, "probability").select("auc", "positives", "negatives")
-    best = best_f1_threshold(voted, TARGET_V1, "probability").select("threshold", "f1")
-    pred = voted.crossJoin(F.broadcast(best.select(F.col("threshold").alias("_t")))).withColumn(
-        "predicted", predict_label("probability", "_t")
+    voted = MD.materialize(voted)  # five model applications, used by three metrics
+    auc = roc_auc(voted, TARGET_V1, "probability").first()
+    best = best_f1_threshold(voted, TARGET_V1, "probability").first()
+    pred = voted.withColumn("predicted", predict_label("probability", float(best["threshold"])))
+    rec = recall_of(pred, TARGET_V1, "predicted").first()
+    return spark.createDataFrame(
+        [(auc["auc"], auc["positives"], auc["negatives"], best["threshold"], best["f1"], rec["recall"])],
+        "auc double, positives long, negatives long, threshold double, f1 double, recall double",
     )
-    rec = recall_of(pred, TARGET_V1, "predicted").select("recall")
-    return auc.crossJoin(best).crossJoin(rec)
 
 
 @query("stack_scored_statements")
