@@ -82,3 +82,15 @@ def test_predictor_round_trip(spark, stacked, tmp_dir):
     b = back.predict(raw, ["statement_id"]).withColumnRenamed("probability", "p2")
     assert a.count() == raw.count()
     assert a.join(b, "statement_id").where(F.abs(F.col("probability") - F.col("p2")) > 1e-12).count() == 0
+
+
+def test_draw_params_ranges():
+    from stressframe.plans.q_models import SEARCH_SPACE, TUNE_SPACE
+
+    draws = MD.draw_params(TUNE_SPACE, 30, seed=1)
+    assert len(draws) == 30
+    for d in draws:
+        assert 50 <= d["trees"] <= 200 and 3 <= d["maxDepth"] <= 12
+        assert 0.005 <= d["stepSize"] <= 0.1 and 0.6 <= d["subsamplingRate"] <= 1.0
+    assert MD.draw_params(SEARCH_SPACE, 20, seed=42) == MD.draw_params(SEARCH_SPACE, 20, seed=42)
+    assert all(d["maxDepth"] in SEARCH_SPACE["maxDepth"] for d in MD.draw_params(SEARCH_SPACE, 20))
