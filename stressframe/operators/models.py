@@ -44,17 +44,19 @@ PRESETS = {
                  featureSubsetStrategy="0.837", pos_weight=2.475),
     # XGBoost: depth 4, subsample 0.8, colsample 0.8, pos weight 2.5
     "xgb": dict(family="gbt", maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.8", pos_weight=2.5),
+    # XGBoost of the five-model vote: depth 6, subsample 0.8, colsample 0.8 (weight: per-split neg/pos)
+    "xgb_vote": dict(family="gbt", maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
     # CatBoost: depth 6, pos weight 2.5, native categoricals (indexed nominal feature)
     "cat": dict(family="gbt", maxDepth=6, pos_weight=2.5),
     # LightGBM defaults of the ceiling check: 31 leaves ~ depth 5, min_child_samples 20
     "ceiling": dict(family="gbt", maxDepth=5, minInstancesPerNode=20),
     # sklearn GradientBoosting: depth 5, 10% validation, patience 10
     "gb": dict(family="gbt", maxDepth=5, stepSize=0.05, validation_fraction=0.1),
-    # RandomForest, balanced: depth 10, min leaf 4, sqrt features
-    "rf": dict(family="rf", numTrees=100, maxDepth=10, minInstancesPerNode=4, featureSubsetStrategy="sqrt",
+    # RandomForest, balanced: 300 trees, depth 10, min leaf 4, sqrt features
+    "rf": dict(family="rf", numTrees=300, maxDepth=10, minInstancesPerNode=4, featureSubsetStrategy="sqrt",
                balanced=True),
-    # ExtraTrees, balanced: no bootstrap, coarse random-like splits
-    "et": dict(family="rf", numTrees=100, maxDepth=10, minInstancesPerNode=4, featureSubsetStrategy="sqrt",
+    # ExtraTrees, balanced: 300 trees, no bootstrap, coarse random-like splits
+    "et": dict(family="rf", numTrees=300, maxDepth=10, minInstancesPerNode=4, featureSubsetStrategy="sqrt",
                bootstrap=False, maxBins=8, balanced=True),
     # LogisticRegression on imputed + scaled input, balanced, C = 0.1
     "lr": dict(family="lr", C=0.1, balanced=True, scaled=True),

@@ -161,8 +161,8 @@ def q_vote_ensemble(spark, sf_dir):
         split.where(F.col("is_test") == 0), split.where(F.col("is_test") == 1), feats, TARGET_V1, ("customer_id",)
     )
     scored = test
-    for name in ("xgb", "gb", "rf", "et"):
-        model = MD.fit_one(train, name, name, TARGET_V1, MD.DEFAULT_TREES, "ratio" if name == "xgb" else None, None)
+    for name, kind in (("xgb", "xgb_vote"), ("gb", "gb"), ("rf", "rf"), ("et", "et")):
+        model = MD.fit_one(train, kind, name, TARGET_V1, MD.DEFAULT_TREES, "ratio" if name == "xgb" else None, None)
         scored = model.transform(scored).withColumn(f"prob_{name}", MD.prob1(name))
     w0, w1 = MD.class_weights(scaled_train, TARGET_V1, "balanced")
     lr_data = scaled_train.withColumn("_w", MD.weight_column(TARGET_V1, w0, w1))
