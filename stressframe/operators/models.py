@@ -42,6 +42,8 @@ PRESETS = {
     # LightGBM, tuned: depth 3, min_child_samples 71, subsample 0.956, colsample 0.837, pos weight 2.475
     "lgbm": dict(family="gbt", maxDepth=3, minInstancesPerNode=71, subsamplingRate=0.956,
                  featureSubsetStrategy="0.837", pos_weight=2.475),
+    # LightGBM of the simplified model: depth 4 (weight: per-fold neg/pos)
+    "lgbm_simple": dict(family="gbt", maxDepth=4),
     # XGBoost: depth 4, subsample 0.8, colsample 0.8, pos weight 2.5
     "xgb": dict(family="gbt", maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.8", pos_weight=2.5),
     # XGBoost of the five-model vote: depth 6, subsample 0.8, colsample 0.8 (weight: per-split neg/pos)

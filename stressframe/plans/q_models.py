@@ -206,3 +206,48 @@ def q_stack_scored(spark, sf_dir):
                                             "failed_autodebit_count", "credit_utilization_ratio")
     decided = assess(scored.join(feats, KEY2), "probability")
     return decided.select(KEY2, TARGET_V2, "probability", "final_probability", "risk_tier", "status", "verdict")
+
+
+def _oof_single(spark, sf_dir, kind: str, features=None, cleaned: bool = True, **kw):
+    """OOF scores of one preset on the v1 table (optionally a feature subset)."""
+    t = transform_v1(spark, sf_dir, cleaned=cleaned)
+    if features is not None:
+        t = t.select("customer_id", *features, TARGET_V1)
+    t = MD.materialize(stratified_folds(t, TARGET_V1, "customer_id", k=5, seed=MD.SEED))
+    feats = [c for c in t.columns if c not in (TARGET_V1, "customer_id", "fold")]
+    prep = MD.prepare(t, TARGET_V1, feats, categorical_columns(t), keep=("customer_id", "fold"))
+    return MD.out_of_fold(prep.data, {kind: kind}, TARGET_V1, "customer_id", weighting="ratio", **kw).oof
+
+
+@query("simplified_oof_auc")
+def q_simplified_oof_auc(spark, sf_dir):
+    """Six selected features on the uncleaned v1 table, depth-4 LightGBM-like
+    preset, per-fold class ratio, five folds: OOF AUC and goal (recipe of the
+    simplified model: PRJ-3, MOD-2, MOD-9, MOD-11, MET-1, MET-9)."""
+    oof = _oof_single(spark, sf_dir, "lgbm_simple", features=list(CORE_FEATURES), cleaned=False)
+    return roc_auc(oof, TARGET_V1, "prob_lgbm_simple")
+
+
+@query("optimized_oof_report")
+def q_optimized_oof_report(spark, sf_dir):
+    """LightGBM-like preset, cleaned v1, per-fold class ratio: OOF predictions
+    labelled at the best-F1 threshold, class report rows plus the OOF AUC and
+    threshold on every row (recipe of the optimized model: MOD-11, MET-1,3..7)."""
+    from stressframe.operators.metrics import class_report
+
+    oof = MD.materialize(_oof_single(spark, sf_dir, "lgbm"))
+    auc = roc_auc(oof, TARGET_V1, "prob_lgbm").first()["auc"]
+    best = best_f1_threshold(oof, TARGET_V1, "prob_lgbm").first()
+    labelled = oof.withColumn("predicted", predict_label("prob_lgbm", float(best["threshold"])))
+    return class_report(labelled, TARGET_V1, "predicted").select(
+        "*", F.lit(auc).alias("oof_auc"), F.lit(float(best["threshold"])).alias("threshold")
+    )
+
+
+@query("catboost_oof_auc")
+def q_catboost_oof_auc(spark, sf_dir):
+    """CatBoost-like preset (depth 6, string categoricals indexed as nominal),
+    cleaned v1, per-fold class ratio, early stopping on the scored fold: OOF
+    AUC and the 0.70 goal that gates the conditional save (MOD-3, MOD-10, SNK-5)."""
+    oof = _oof_single(spark, sf_dir, "cat")
+    return roc_auc(oof, TARGET_V1, "prob_cat")
