@@ -184,3 +184,26 @@ def stress_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(0)
         .alias(TARGET_V2),
     )
+
+
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
+def store_derived(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """Derive both credit tables once and write them to ``out_dir`` (shared
+    storage on a cluster): customers as plain Parquet, statements partitioned
+    by ``week_number`` so week filters prune files. Each task writes its own
+    files (no repartition by week: a hot week cannot funnel into one task);
+    ``maxRecordsPerFile`` bounds file size. Returns the two paths."""
+    paths = {"risk_customer": f"{out_dir}/risk_customer", "stress_statement": f"{out_dir}/stress_statement"}
+    risk_customer(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(
+        paths["risk_customer"]
+    )
+    (
+        stress_statement(spark, sf_dir)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy("week_number")
+        .parquet(paths["stress_statement"])
+    )
+    return paths

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 
 import pytest
@@ -65,4 +64,17 @@ def test_save_if_goal(spark, tmp_dir):
     assert not save_if_goal(model, os.path.join(tmp_dir, "m1"), 0.6, 0.7)
     assert save_if_goal(model, os.path.join(tmp_dir, "m2"), 0.71, 0.7)
     assert os.path.isdir(os.path.join(tmp_dir, "m2")) and not os.path.exists(os.path.join(tmp_dir, "m1"))
-    assert not math.isnan(0.0)
+
+
+def test_store_derived_prunes_weeks(spark, tmp_dir):
+    from stressframe.sources.derive import store_derived
+
+    paths = store_derived(spark, SMALL, tmp_dir)
+    stored = read_statements(spark, paths["stress_statement"])
+    assert stored.count() == stress_statement(spark, SMALL).count()
+    week = stored.agg(F.min("week_number")).first()[0]
+    one = stored.where(F.col("week_number") == week)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "week_number" in plan
+    assert one.count() == stress_statement(spark, SMALL).where(F.col("week_number") == week).count()
+    assert read_customers(spark, paths["risk_customer"]).count() > 0
