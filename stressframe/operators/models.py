@@ -46,6 +46,11 @@ PRESETS = {
     "lgbm_simple": dict(family="gbt", maxDepth=4),
     # XGBoost: depth 4, subsample 0.8, colsample 0.8, pos weight 2.5
     "xgb": dict(family="gbt", maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.8", pos_weight=2.5),
+    # XGBoost with library defaults (100 trees -> scaled, depth 6, learning rate 0.3), neg/pos weight
+    "xgb_default": dict(family="gbt", maxDepth=6, stepSize=0.3, trees=int(100 * 0.1)),
+    # RandomForest with library defaults, balanced (unbounded depth -> Spark's practical 12)
+    "rf_default": dict(family="rf", numTrees=100, maxDepth=12, minInstancesPerNode=1, featureSubsetStrategy="sqrt",
+                       balanced=True),
     # XGBoost of the five-model vote: depth 6, subsample 0.8, colsample 0.8 (weight: per-split neg/pos)
     "xgb_vote": dict(family="gbt", maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
     # CatBoost: depth 6, pos weight 2.5, native categoricals (indexed nominal feature)
@@ -254,7 +259,8 @@ def fit_one(train: DataFrame, kind: str, name: str, label: str, trees: int, weig
         h = F.xxhash64(vector_to_array(F.col("features")), F.col(label), F.lit(SEED))
         data = data.withColumn("_val", F.pmod(h, F.lit(1000)) < int(frac * 1000))
         vcol = "_val"
-    est = make_learner(kind, label, name=name, trees=trees, weight_col=wcol, validation_col=vcol, reg_param=reg)
+    est = make_learner(kind, label, name=name, trees=p.get("trees", trees), weight_col=wcol, validation_col=vcol,
+                       reg_param=reg)
     if p.get("scaled"):
         raise ValueError("scaled learners need prepare_scaled input")
     return est.fit(data)
