@@ -253,6 +253,40 @@ def q_catboost_oof_auc(spark, sf_dir):
     return roc_auc(oof, TARGET_V1, "prob_cat")
 
 
+def _fit_vote_pipeline(raw):
+    """One-hot (drop first) -> 80/20 stratified split -> XGBoost- and
+    forest-default presets on the training rows, as one PipelineModel that
+    scores raw customer rows (output columns pv_xgb, pv_rf)."""
+    from pyspark.ml import PipelineModel
+
+    onehot = OneHot(inputCols=["employment_type"]).fit(raw)
+    encoded = onehot.transform(raw)
+    split = MD.materialize(stratified_split(encoded, TARGET_V1, "customer_id", 0.2, MD.SEED))
+    feats = [c for c in numeric_columns(encoded) if c not in (TARGET_V1, "customer_id")]
+    prep = MD.prepare(split, TARGET_V1, feats, [], keep=("customer_id", "is_test"))
+    train = prep.data.where(F.col("is_test") == 0)
+    xgb = MD.fit_one(train, "xgb_default", "xgb", TARGET_V1, MD.DEFAULT_TREES, "ratio", None)
+    rf = MD.fit_one(train, "rf_default", "rf", TARGET_V1, MD.DEFAULT_TREES, None, None)
+    return PipelineModel(stages=[onehot, *prep.prep_model.stages, xgb, rf])
+
+
+@query("scored_customers")
+def q_scored_customers(spark, sf_dir):
+    """Every customer scored by the equal XGBoost + forest vote: original
+    columns + risk_probability + risk_category (SNK-2 table, POL-1, POL-3)."""
+    from stressframe.operators.policy import risk_tier
+
+    raw = risk_customer(spark, sf_dir)
+    model = _fit_vote_pipeline(raw)
+    # the encoder consumes employment_type (as get_dummies does): carry a copy through
+    kept = raw.withColumn("_segment", F.col("employment_type"))
+    scored = model.transform(kept)
+    prob = ((MD.prob1("xgb") + MD.prob1("rf")) / 2).alias("risk_probability")
+    cols = [F.col("_segment").alias(c) if c == "employment_type" else F.col(c) for c in raw.columns]
+    out = scored.select(*cols, prob)
+    return out.withColumn("risk_category", risk_tier("risk_probability"))
+
+
 @query("rescore_saved_model")
 def q_rescore_saved_model(spark, sf_dir):
     """Fit an equal soft vote of XGBoost- and forest-default presets on the
@@ -262,23 +296,13 @@ def q_rescore_saved_model(spark, sf_dir):
     recall at it (SPL-1, ENC-1, MOD-13, SNK-4, SRC-6, POL-1, MET-1,4,5,8)."""
     import uuid
 
-    from pyspark.ml import PipelineModel
-
     from stressframe.session import ensure_checkpoint_dir
     from stressframe.sources.files import load_model
     from stressframe.sources.sinks import save_model
 
     raw = risk_customer(spark, sf_dir)
-    onehot = OneHot(inputCols=["employment_type"]).fit(raw)
-    encoded = onehot.transform(raw)
-    split = MD.materialize(stratified_split(encoded, TARGET_V1, "customer_id", 0.2, MD.SEED))
-    feats = [c for c in numeric_columns(encoded) if c not in (TARGET_V1, "customer_id")]
-    prep = MD.prepare(split, TARGET_V1, feats, [], keep=("customer_id", "is_test"))
-    train = prep.data.where(F.col("is_test") == 0)
-    xgb = MD.fit_one(train, "xgb_default", "xgb", TARGET_V1, MD.DEFAULT_TREES, "ratio", None)
-    rf = MD.fit_one(train, "rf_default", "rf", TARGET_V1, MD.DEFAULT_TREES, None, None)
     path = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}/vote"
-    save_model(PipelineModel(stages=[onehot, *prep.prep_model.stages, xgb, rf]), path)
+    save_model(_fit_vote_pipeline(raw), path)
     loaded = load_model(path)
     # the split is a pure function of (key, seed): re-creating it gives the same hold-out rows
     again = stratified_split(raw, TARGET_V1, "customer_id", 0.2, MD.SEED).where(F.col("is_test") == 1)
