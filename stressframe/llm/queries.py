@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stressframe.llm import bpe, licences, lines, pages
+from stressframe.llm import bpe, licences, lines, pages, phrases, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,12 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text."""
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_licence_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence scan of every whole text: base phrases, labels and score."""
     return licences.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@query("op6_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text."""
+    return phrases.fingerprint_next(table(spark, sf_dir, "documents"))
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
