@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stressframe.llm import bpe, licences, lines, pages, phrases, quality
+from stressframe.llm import bpe, decontam, licences, lines, lmscore, pages, phrases, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +32,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents within their edit budget."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_lm_score")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every whole text: documents labelled good against all."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lmscore.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 @query("op5_licence_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence scan of every whole text: base phrases, labels and score."""
