@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stressframe.llm import bpe, decontam, licences, lines, lmscore, pages, phrases, quality
+from stressframe.llm import bpe, decontam, jaccard, licences, lines, lmscore, pages, phrases, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -57,6 +57,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.fingerprint_next(table(spark, sf_dir, "documents"))
 
 
+@query("op7_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of every whole text."""
+    return jaccard.link_near(table(spark, sf_dir, "documents")).drop("class_id")
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
