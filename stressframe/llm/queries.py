@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stressframe.llm import bpe, decontam, jaccard, licences, lines, lmscore, pages, phrases, quality
+from stressframe.llm import bpe, decontam, jaccard, licences, lines, lmscore, pages, phrases, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +32,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op2_repeated_bytes")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by a 100-byte string that starts earlier go."""
+    from pyspark.sql import functions as F
+
+    left = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op3_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents within their edit budget."""
