@@ -159,34 +159,41 @@ def decode(df: DataFrame, json_path: str, pattern: str, id_col: str = "doc_id",
     return df.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {kind}, raw binary, text string")
 
 
-def round_trip(df: DataFrame, json_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode, then decode the ids: token counts and digests of ids and bytes, one row per document."""
+def round_trip(
+    df: DataFrame, json_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """Encode, then decode the ids: token counts and digests of ids and bytes, one row per
+    document; ``with_ids`` adds the ids themselves."""
 
     def run(batches):
         bpe = ByteBpe(json_path, pattern)
         decimal = {i: str(i) for i in bpe.token_bytes}
         for batch in batches:
-            n, h_ids, h_raw = [], [], []
+            n, h_ids, h_raw, all_ids = [], [], [], []
             for text in batch.column(1):
-                count, a, b = 0, hashlib.sha256(), hashlib.sha256()
+                count, a, b, own = 0, hashlib.sha256(), hashlib.sha256(), []
                 for ids in bpe.encode(text.as_py()):
                     if ids:
                         a.update(((" " if count else "") + " ".join(map(decimal.__getitem__, ids))).encode())
                         b.update(bpe.decode(ids))
                         count += len(ids)
+                        if with_ids:
+                            own.extend(ids)
                 n.append(count)
                 h_ids.append(a.hexdigest())
                 h_raw.append(b.hexdigest())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    id_col: batch.column(0),
-                    "n_tokens": pa.array(n, pa.int64()),
-                    "ids_sha256": pa.array(h_ids, pa.string()),
-                    "decoded_sha256": pa.array(h_raw, pa.string()),
-                }
-            )
+                all_ids.append(own)
+            columns = {
+                id_col: batch.column(0),
+                "n_tokens": pa.array(n, pa.int64()),
+                "ids_sha256": pa.array(h_ids, pa.string()),
+                "decoded_sha256": pa.array(h_raw, pa.string()),
+            }
+            if with_ids:
+                columns["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     )

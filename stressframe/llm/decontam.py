@@ -149,23 +149,34 @@ def _windows(data: np.ndarray, offsets: np.ndarray, overlap: int):
         yield part, np.array([0, len(part)]), at
 
 
+def _search(texts: list[bytes], q: int, rate: float):
+    """Function of a text column: {(row, item): (edits, end, hits)} of the passages found."""
+    index, roller, lower = ItemIndex(texts, q, rate), Roller(), lower_table()
+    overlap = 3 * int(index.n.max())
+
+    def find(column) -> dict[tuple[int, int], tuple[int, int, int]]:
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for first_row, data, offsets in text_slices(column):
+            for part, offs, shift in _windows(lower[data], offsets, overlap):
+                row, item, low, hits = index.candidates(part, offs, roller)
+                edits, stop = index.align(part, offs, row, item, low)
+                for k in np.flatnonzero(edits <= index.budget[item]):
+                    key = (first_row + int(row[k]), int(item[k]))
+                    new = (int(edits[k]), int(stop[k]) + shift, int(hits[k]))
+                    best[key] = min(best.get(key, new), new)
+        return best
+
+    return find
+
+
 def _scan_block(docs: DataFrame, texts: list[bytes], ids: list[list[int]], id_col: str, text_col: str, q: int, rate: float) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((texts, ids))
 
     def run(batches):
-        found_texts, item_ids = sent.value
-        index, roller, lower = ItemIndex(found_texts, q, rate), Roller(), lower_table()
-        overlap = 3 * int(index.n.max())
+        texts_, item_ids = sent.value
+        find = _search(texts_, q, rate)
         for batch in batches:
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for first_row, data, offsets in text_slices(batch.column(1)):
-                for part, offs, shift in _windows(lower[data], offsets, overlap):
-                    row, item, low, hits = index.candidates(part, offs, roller)
-                    edits, stop = index.align(part, offs, row, item, low)
-                    for k in np.flatnonzero(edits <= index.budget[item]):
-                        key = (first_row + int(row[k]), int(item[k]))
-                        new = (int(edits[k]), int(stop[k]) + shift, int(hits[k]))
-                        best[key] = min(best.get(key, new), new)
+            best = find(batch.column(1))
             keys = [(r, m, i) for r, m in sorted(best) for i in item_ids[m]]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -173,7 +184,7 @@ def _scan_block(docs: DataFrame, texts: list[bytes], ids: list[list[int]], id_co
                     pa.array([i for _, _, i in keys], pa.int64()),
                     pa.array([best[r, m][0] for r, m, _ in keys], pa.int64()),
                     pa.array([best[r, m][1] for r, m, _ in keys], pa.int64()),
-                    pa.array([int(index.n[m]) for _, m, _ in keys], pa.int64()),
+                    pa.array([len(texts_[m]) for _, m, _ in keys], pa.int64()),
                 ],
                 names=[id_col, "item_id", "edits", "stop_byte", "item_bytes"],
             )
@@ -184,6 +195,46 @@ def _scan_block(docs: DataFrame, texts: list[bytes], ids: list[list[int]], id_co
     )
 
 
+def item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, q: int, block_bytes: int):
+    """Yield {item text: ids}, about ``block_bytes`` of distinct texts at a time."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.encode(F.col(item_text_col), "UTF-8").alias("t"))
+    items = items.where(F.octet_length("t") >= q)
+    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    blocks = -(-total // block_bytes)
+    for b in range(blocks):
+        of: dict[bytes, list[int]] = {}
+        for r in items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).collect():
+            of.setdefault(bytes(r["t"]), []).append(r["i"])
+        if of:
+            yield of
+
+
+def drop_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    q: int = 10,
+    rate: float = 0.08,
+    block_bytes: int = 2 << 20,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with all their columns, unshuffled."""
+    at = docs.columns.index(text_col)
+    for of in item_blocks(benchmark, item_col, item_text_col, q, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(sorted(of))
+
+        def run(batches, sent=sent):
+            find = _search(sent.value, q, rate)
+            for batch in batches:
+                clean = np.ones(len(batch), bool)
+                clean[[r for r, _ in find(batch.column(at))]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -197,20 +248,12 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document and benchmark item found in it: fewest edits, where that
     passage ends (bytes from the start of the text) and the item's length."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.encode(F.col(item_text_col), "UTF-8").alias("t"))
-    items = items.where(F.octet_length("t") >= q)
-    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     empty = docs.select(id_col).where(F.lit(False)).selectExpr(
         f"`{id_col}`", "0L AS item_id", "0L AS edits", "0L AS stop_byte", "0L AS item_bytes"
     )
     found = []
-    blocks = -(-total // block_bytes)
-    for b in range(blocks):
-        of: dict[bytes, list[int]] = {}
-        for r in items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).collect():
-            of.setdefault(bytes(r["t"]), []).append(r["i"])
-        if of:
-            texts = sorted(of)
-            ids = [sorted(of[t], key=lambda i: (i is None, i)) for t in texts]
-            found.append(_scan_block(docs, texts, ids, id_col, text_col, q, rate))
+    for of in item_blocks(benchmark, item_col, item_text_col, q, block_bytes):
+        texts = sorted(of)
+        ids = [sorted(of[t], key=lambda i: (i is None, i)) for t in texts]
+        found.append(_scan_block(docs, texts, ids, id_col, text_col, q, rate))
     return functools.reduce(DataFrame.unionAll, found) if found else empty
