@@ -66,9 +66,10 @@ def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, m
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, max_docs: int = 1
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, max_docs: int = 1, counts: bool = True
 ) -> DataFrame:
-    """``docs`` with the text left after dropping, plus n_lines and n_dropped.
+    """``docs`` with the text left after dropping, and with ``counts`` also n_lines and
+    n_dropped (in place of columns of these names).
 
     A key of at least ``min_chars`` code points in more than ``max_docs``
     documents loses its lines everywhere but in the smallest id that holds it."""
@@ -85,10 +86,8 @@ def dedup_lines(
     whole = F.coalesce(F.col(f"_row.`{text_col}`"), F.lit(""))
     split = both.select("_row", "_pos", F.split(whole, "\n", -1).alias("_l"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("_pos"))
-    keep = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    return split.select(
-        *keep,
-        F.array_join(F.transform(kept, lambda i: F.element_at("_l", i + 1)), "\n").alias(text_col),
-        F.size("_l").cast("long").alias("n_lines"),
-        F.size("_pos").cast("long").alias("n_dropped"),
-    )
+    new = {text_col: F.array_join(F.transform(kept, lambda i: F.element_at("_l", i + 1)), "\n")}
+    if counts:
+        new |= {"n_lines": F.size("_l").cast("long"), "n_dropped": F.size("_pos").cast("long")}
+    names = [*docs.columns, *(c for c in new if c not in docs.columns)]
+    return split.select(*(new[c].alias(c) if c in new else F.col(f"_row.`{c}`").alias(c) for c in names))

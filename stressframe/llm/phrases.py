@@ -1,7 +1,8 @@
 """Document fingerprints by locally consistent parsing (operator 6).
 
 Level by level, a text's symbols are cut into short phrases at positions that
-depend only on a few neighbours: runs of equal symbols collapse, deterministic
+depend only on a few neighbours: runs of equal symbols collapse (to one of their
+length's power of two), deterministic
 coin tossing turns the names into small labels that differ from their left
 neighbour's, and local maxima of those labels start new phrases.  A phrase is
 named by a hash of its symbols' names, so equal substrings get the same interior
@@ -61,13 +62,13 @@ def next_level(names: np.ndarray, labels: np.ndarray, starts: np.ndarray, weight
     border = np.zeros(n + 1, bool)
     border[starts] = True
     border[n] = True
-    # runs of one name become one symbol that knows its length
+    # runs of one name become one symbol that knows how many bits its length has
     head = np.ones(n, bool)
     head[1:] = (labels[1:] != labels[:-1]) | border[1:n]
     at = np.flatnonzero(head)
     if len(at) < n:
-        run = np.diff(np.append(at, n)).astype(np.uint64)
-        names = np.where(run > 1, mix(names[at] + run * weights[1]), names[at])
+        bits = np.frexp(np.diff(np.append(at, n)).astype(np.float64))[1].astype(np.uint64)
+        names = np.where(bits > 1, mix(names[at] + bits * weights[1]), names[at])
         labels = labels[at]
         first = border[:n][at]
     else:

@@ -276,7 +276,9 @@ def merge_transforms(strings: DataFrame, window: int, shard_size: int) -> DataFr
         offs = np.frombuffer(body.buffers()[1], np.int32)[body.offset : body.offset + len(body) + 1].astype(np.int64)
         data = np.frombuffer(body.buffers()[2], np.uint8)
         rank = np.empty(len(doc), np.int64)
-        rank[np.lexsort((start + mid, doc))] = np.arange(len(doc))
+        order = np.lexsort((start + mid, doc))
+        later = (np.diff(doc[order]) != 0) | (np.diff((start + mid)[order]) != 0)  # repeated rows give equal ranks
+        rank[order] = np.concatenate([[0], np.cumsum(later)])
         flags, low = repeated_windows(Strings(data, offs[:-1], np.diff(offs), mid), rank, window, shard_size)
         cols = _flag_ranges(flags, low, doc, start + mid, window)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["doc", "low", "high"])
