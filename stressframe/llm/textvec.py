@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _M1 = np.uint64(0xFF51AFD7ED558CCD)  # fixed values: 64-bit finaliser of MurmurHash3
 _M2 = np.uint64(0xC4CEB9FE1A85EC53)
