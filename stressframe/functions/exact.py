@@ -31,16 +31,19 @@ def whole(c: str | Column) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Floor division of non-negative longs, exact (a - a mod b is a multiple of b)."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """Integral division (SQL ``div``) of non-negative exact numbers; no double is involved."""
+    return F.call_function("div", a, b)
 
 
 def ratio6(num: Column, den: Column) -> Column:
-    """num / den for integers, den > 0, rounded half away from zero to 6 places."""
-    num = num.cast("long")
-    den = den.cast("long")
-    k = int_div(F.abs(num) * (2 * SCALE) + den, den * 2)
-    return F.signum(num) * k / float(SCALE)
+    """num / den for longs, den > 0, rounded half away from zero to 6 places. Whole
+    part and rest are divided apart, the rest as a decimal: no long input overflows
+    or loses a unit."""
+    size, by = F.abs(num.cast("long")), den.cast("long")
+    rest = (size % by).cast("decimal(19,0)") * F.lit(2 * SCALE).cast("decimal(7,0)")
+    twice = by.cast("decimal(19,0)") * F.lit(2).cast("decimal(1,0)")
+    k = int_div(size, by).cast("decimal(19,0)") * F.lit(SCALE).cast("decimal(7,0)") + int_div(rest + by.cast("decimal(19,0)"), twice)
+    return F.signum(num) * k.cast("double") / float(SCALE)
 
 
 def sql_cents(expr: str) -> str:

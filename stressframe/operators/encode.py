@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from stressframe.functions.columns import non_finite_to_null
 from stressframe.operators.quantile import quantile_rows
 
-MAX_LEVELS = 10_000  # one-hot is for low-cardinality columns; ids must be dropped first
+MAX_LEVELS = 10_000  # default of ``maxLevels``: one-hot is for low-cardinality columns
 
 
 class OneHot(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -28,25 +28,27 @@ class OneHot(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritab
     ``<col>_<level>``; the source column is dropped."""
 
     dropFirst = Param(Params._dummy(), "dropFirst", "drop the first sorted level", TypeConverters.toBoolean)
+    maxLevels = Param(Params._dummy(), "maxLevels", "levels that may reach the driver; more is an error", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, dropFirst=True):
+    def __init__(self, *, inputCols=None, dropFirst=True, maxLevels=MAX_LEVELS):
         super().__init__()
-        self._setDefault(dropFirst=True)
+        self._setDefault(dropFirst=True, maxLevels=MAX_LEVELS)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "OneHotModel":
         cols = self.getInputCols()
+        most = self.getOrDefault(self.maxLevels)
         levels = []
         for c in cols:
-            # distinct levels (shuffle with map-side dedup); at most MAX_LEVELS + 1 reach the driver
+            # distinct levels (shuffle with map-side dedup); at most maxLevels + 1 reach the driver
             vals = sorted(
                 r[0]
                 for r in df.select(F.col(c).cast("string")).where(F.col(c).isNotNull()).distinct()
-                .limit(MAX_LEVELS + 1).collect()
+                .limit(most + 1).collect()
             )
-            if len(vals) > MAX_LEVELS:
-                raise ValueError(f"{c} has {len(vals)} levels; drop identifier columns before one-hot encoding")
+            if len(vals) > most:
+                raise ValueError(f"{c} has {len(vals)} levels; drop identifier columns or raise maxLevels ({most})")
             if self.getOrDefault(self.dropFirst):
                 vals = vals[1:]
             levels.append("\u0001".join(vals))

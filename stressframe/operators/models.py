@@ -1,7 +1,7 @@
 """Model fitting on Spark ML: learners, out-of-fold scoring, stacking, search
 (MOD-1..18, SPL-3, SET-1, JOIN-2).
 
-* The boosting libraries map to ``GBTClassifier`` presets, the forests to
+* The boosting libraries map to presets of ``operators/boost.py``, the forests to
   ``RandomForestClassifier``, the linear models to ``LogisticRegression`` with
   scikit-learn's C mapped to ``regParam = 1 / (C * sum(weights))``.
 * Out-of-fold (OOF) scores come from k x m fits on one cached, assembled frame;
@@ -22,43 +22,47 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stressframe.operators.boost import Boost, fit_boost
 from stressframe.operators.encode import ImputeScale
 
 SEED = 42
-ROWS_PER_PARTITION = 500_000  # ~200 MB of assembled rows per training partition
-MIN_ROWS_PER_TASK = 10_000  # below this per task, scheduling overhead dominates a tree level
-DEFAULT_TREES = 40  # 1,000-tree presets at learning rate 0.03 -> ~40 trees at 0.1
-DEFAULT_STEP = 0.1
-TREE_SCALE = 0.1  # searched tree counts are scaled: Spark's GBT pays one job chain per tree
-
-# Learner presets (nearest Spark ML parameters of the reference's models).
+ROWS_PER_PARTITION = 10_000  # of a fit input; the count of partitions follows from the rows alone
+# Learner presets of the reference's models: rounds, rates and controls as given there.
 PRESETS = {
-    # LightGBM, tuned: depth 3, min_child_samples 71, subsample 0.956, colsample 0.837, pos weight 2.475
-    "lgbm": dict(family="gbt", maxDepth=3, minInstancesPerNode=71, subsamplingRate=0.956,
-                 featureSubsetStrategy="0.837", pos_weight=2.475),
-    # LightGBM of the simplified model: depth 4 (weight: per-fold neg/pos)
-    "lgbm_simple": dict(family="gbt", maxDepth=4),
-    # XGBoost: depth 4, subsample 0.8, colsample 0.8, pos weight 2.5
-    "xgb": dict(family="gbt", maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.8", pos_weight=2.5),
-    # XGBoost with library defaults (100 trees -> scaled, depth 6, learning rate 0.3), neg/pos weight
-    "xgb_default": dict(family="gbt", maxDepth=6, stepSize=0.3, trees=int(100 * 0.1)),
-    # RandomForest with library defaults, balanced (unbounded depth -> Spark's practical 12)
-    "rf_default": dict(family="rf", numTrees=100, maxDepth=12, minInstancesPerNode=1, featureSubsetStrategy="sqrt",
-                       balanced=True),
-    # XGBoost of the five-model vote: depth 6, subsample 0.8, colsample 0.8 (weight: per-split neg/pos)
-    "xgb_vote": dict(family="gbt", maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
-    # CatBoost: depth 6, pos weight 2.5, native categoricals (indexed nominal feature)
-    "cat": dict(family="gbt", maxDepth=6, pos_weight=2.5),
-    # LightGBM defaults of the ceiling check: 31 leaves ~ depth 5, min_child_samples 20
-    "ceiling": dict(family="gbt", maxDepth=5, minInstancesPerNode=20),
-    # sklearn GradientBoosting: depth 5, 10% validation, patience 10
-    "gb": dict(family="gbt", maxDepth=5, stepSize=0.05, validation_fraction=0.1),
+    # LightGBM, tuned (weight 2.475; the two-model recipe gives 2.4752)
+    "lgbm": dict(family="boost", rounds=1351, rate=0.031, depth=3, leaves=40, min_rows=71, row_rate=0.956, col_rate=0.837,
+                 l1=7e-05, l2=0.0008, pos_weight=2.475, patience=50),
+    # the same with the digits of the two-model recipe
+    "lgbm_final": dict(family="boost", rounds=1351, rate=0.03118, depth=3, leaves=40, min_rows=71, row_rate=0.9558, col_rate=0.8371,
+                       l1=7e-05, l2=0.0008, pos_weight=2.4752, patience=50),
+    # LightGBM of the optimized recipe: 31 leaves, no depth limit (weight: per-fold neg/pos)
+    "lgbm_optimized": dict(family="boost", rounds=1000, rate=0.03, leaves=31, min_rows=20, row_rate=0.8, col_rate=0.8, patience=50),
+    # LightGBM of the simplified recipe (weight: per-fold neg/pos)
+    "lgbm_simple": dict(family="boost", rounds=500, rate=0.05, depth=4, leaves=15, min_rows=50, l1=1.0, l2=1.0, patience=50),
+    # XGBoost (library defaults: L2 1, child weight 1)
+    "xgb": dict(family="boost", rounds=1000, rate=0.03, depth=4, row_rate=0.8, col_rate=0.8, l2=1.0, min_weight=1.0, pos_weight=2.5, patience=50),
+    # XGBoost with library defaults (weight: neg/pos); also the base of the random search
+    "xgb_default": dict(family="boost", rounds=100, rate=0.3, depth=6, l2=1.0, min_weight=1.0),
+    # XGBoost of the five-model vote (weight: neg/pos of the training rows)
+    "xgb_vote": dict(family="boost", rounds=300, rate=0.05, depth=6, row_rate=0.8, col_rate=0.8, l2=1.0, min_weight=1.0),
+    # CatBoost of the stacks (library default L2 3)
+    "cat": dict(family="boost", rounds=1000, rate=0.03, depth=6, l2=3.0, pos_weight=2.5, patience=50),
+    # CatBoost alone (weight: per-fold neg/pos)
+    "cat_alone": dict(family="boost", rounds=2000, rate=0.02, depth=6, l2=3.0, patience=100),
+    # LightGBM of the ceiling check: library defaults but 500 rounds
+    "ceiling": dict(family="boost", rounds=500, rate=0.1, leaves=31, min_rows=20),
+    # LightGBM defaults: the base of the range study
+    "lgbm_default": dict(family="boost", rounds=100, rate=0.1, leaves=31, min_rows=20, patience=50),
+    # scikit-learn's gradient boosting: 10% validation, patience 10 on the loss
+    "gb": dict(family="boost", rounds=200, rate=0.05, depth=5, patience=10, metric="loss", validation_fraction=0.1),
+    # RandomForest with library defaults, balanced (no depth limit: Spark's largest depth)
+    "rf_default": dict(family="rf", numTrees=100, maxDepth=30, minInstancesPerNode=1, featureSubsetStrategy="sqrt", balanced=True),
     # RandomForest, balanced: 300 trees, depth 10, min leaf 4, sqrt features
     "rf": dict(family="rf", numTrees=300, maxDepth=10, minInstancesPerNode=4, featureSubsetStrategy="sqrt",
                balanced=True),
@@ -73,25 +77,17 @@ PRESETS = {
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write an iterative-fit input to the checkpoint folder (lineage cut:
-    k x m fits and executor loss never recompute the derivation) and size its
-    partitions by rows: at least one task per 10k rows up to the cluster's
-    parallelism, and one per ~500k rows beyond that."""
+    """Write an iterative-fit input to the checkpoint folder (lineage cut: fits and
+    executor loss never recompute the derivation). The number of partitions follows
+    from the row count and each row's place from the hash of its values, so what a
+    learner samples per partition does not depend on the cluster's cores."""
     import math
 
     from stressframe.session import cut_lineage
 
-    df = cut_lineage(df)
-    n = df.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, math.ceil(n / MIN_ROWS_PER_TASK)), math.ceil(n / ROWS_PER_PARTITION))
-    current = df.rdd.getNumPartitions()
-    if current > parts:
-        return df.coalesce(parts)
-    if current < parts:
-        # one shuffle from the checkpoint files; recomputable from them on loss
-        return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    return df
+    parts = max(1, math.ceil(df.count() / ROWS_PER_PARTITION))
+    scalars = [c for c, t in df.dtypes if not t.startswith(("vector", "map"))]
+    return cut_lineage(df.repartition(parts, F.xxhash64(*scalars)).sortWithinPartitions(F.xxhash64(*scalars)))
 
 
 @dataclass
@@ -157,34 +153,24 @@ def make_learner(
     kind: str,
     label: str,
     name: str | None = None,
-    trees: int = DEFAULT_TREES,
     weight_col: str | None = None,
-    validation_col: str | None = None,
     reg_param: float = 0.0,
     seed: int = SEED,
+    max_bins: int = 32,
     **overrides,
 ):
-    """A Spark ML classifier for a preset; output columns are suffixed by
-    ``name`` so several models can score the same frame."""
+    """A Spark ML classifier for a forest or linear preset; output columns are
+    suffixed by ``name`` so several models can score the same frame. ``max_bins``
+    must cover the levels of every nominal feature."""
     p = {**PRESETS[kind], **overrides}
     name = name or kind
     out = dict(probabilityCol=f"pv_{name}", rawPredictionCol=f"rp_{name}", predictionCol=f"pd_{name}")
     fam = p["family"]
-    if fam == "gbt":
-        est = GBTClassifier(
-            labelCol=label, featuresCol="features", maxIter=trees, stepSize=p.get("stepSize", DEFAULT_STEP),
-            maxDepth=p["maxDepth"], minInstancesPerNode=p.get("minInstancesPerNode", 1),
-            subsamplingRate=p.get("subsamplingRate", 1.0), featureSubsetStrategy=p.get("featureSubsetStrategy", "all"),
-            maxBins=p.get("maxBins", 32), minInfoGain=float(p.get("minInfoGain", 0.0)), seed=seed,
-        )
-        if validation_col:
-            est.setValidationIndicatorCol(validation_col)
-            est.set(est.validationTol, float(p.get("validationTol", 1e-4)))
-    elif fam == "rf":
+    if fam == "rf":
         est = RandomForestClassifier(
             labelCol=label, featuresCol="features", numTrees=p["numTrees"], maxDepth=p["maxDepth"],
             minInstancesPerNode=p["minInstancesPerNode"], featureSubsetStrategy=p["featureSubsetStrategy"],
-            bootstrap=p.get("bootstrap", True), maxBins=p.get("maxBins", 32), seed=seed,
+            bootstrap=p.get("bootstrap", True), maxBins=max(p.get("maxBins", 32), max_bins if max_bins > 32 else 0), seed=seed,
         )
     elif fam == "lr":
         est = LogisticRegression(
@@ -205,14 +191,9 @@ def prob1(name: str) -> Column:
     return vector_to_array(F.col(f"pv_{name}"))[1]
 
 
-def fit_concurrency(df: DataFrame, requested: int | None = None, cap: int = 8) -> int:
-    """Concurrent fits: small inputs leave cores idle, so several fits share
-    the cluster; once one input spans the cluster (partitions >= cores) fits
-    run one after another, each using all executors and caching one copy."""
-    if requested:
-        return max(1, requested)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(cap, cores // max(1, df.rdd.getNumPartitions())))
+def fit_concurrency(df: DataFrame, requested: int | None = None) -> int:
+    """How many fits run at a time: a boosted fit is one task, so one per core."""
+    return max(1, requested or df.sparkSession.sparkContext.defaultParallelism)
 
 
 @dataclass
@@ -228,42 +209,38 @@ class OOFResult:
     fits: list[FoldFit] = field(default_factory=list)
 
 
-def fit_one(train: DataFrame, kind: str, name: str, label: str, trees: int, weighting, early_stop_on: DataFrame | None):
-    """Fit one learner on ``train``; for boosting with early stopping the
-    held-out fold is appended as the validation set (the reference stops on
-    the fold it scores)."""
+def boost_params(kind: str, pos_weight: float | None = None, early_stop: bool = True, **overrides) -> Boost:
+    """The preset's boosting parameters, without those that do not belong to ``Boost``."""
+    p = {k: v for k, v in {**PRESETS[kind], **overrides}.items() if k in Boost.__dataclass_fields__}
+    if pos_weight is not None:
+        p["pos_weight"] = pos_weight
+    if not early_stop:
+        p["patience"] = 0
+    return Boost(**p)
+
+
+def fit_one(train: DataFrame, kind: str, name: str, label: str, weighting=None, early_stop_on: DataFrame | None = None):
+    """Fit one learner on ``train``. ``weighting`` (None: the preset's own) is a
+    scheme of ``class_weights``. A boosted preset with patience stops on
+    ``early_stop_on`` (the reference stops on the fold it scores) or, where the
+    preset names a validation fraction, on that share of its own rows; without
+    either it runs all its rounds."""
     p = PRESETS[kind]
-    scheme = weighting if weighting is not None else (
-        "balanced" if p.get("balanced") else p.get("pos_weight", None)
-    )
-    data = train
-    wcol = None
+    scheme = weighting if weighting is not None else ("balanced" if p.get("balanced") else p.get("pos_weight", None))
+    if p["family"] == "boost":
+        share = p.get("validation_fraction", 0.0)
+        w1 = class_weights(train, label, scheme)[1] if scheme is not None else None
+        params = boost_params(kind, w1, early_stop=early_stop_on is not None or bool(share))
+        return fit_boost(train, label, name, params, early_stop_on, valid_share=share)
+    data, wcol = train, None
     if scheme is not None:
         w0, w1 = class_weights(train, label, scheme)
-        data = data.withColumn("_w", weight_column(label, w0, w1))
-        wcol = "_w"
+        data, wcol = data.withColumn("_w", weight_column(label, w0, w1)), "_w"
     reg = 0.0
     if p["family"] == "lr":
         n_w = data.agg(F.sum(F.col(wcol)) if wcol else F.count(F.lit(1))).first()[0]
         reg = 1.0 / (p["C"] * float(n_w))
-    vcol = None
-    if p["family"] == "gbt" and early_stop_on is not None:
-        data = data.withColumn("_val", F.lit(False))
-        val = early_stop_on.withColumn("_val", F.lit(True))
-        if wcol:
-            val = val.withColumn("_w", F.lit(1.0))
-        data = data.unionByName(val)
-        vcol = "_val"
-    elif p.get("validation_fraction"):
-        frac = p["validation_fraction"]
-        h = F.xxhash64(vector_to_array(F.col("features")), F.col(label), F.lit(SEED))
-        data = data.withColumn("_val", F.pmod(h, F.lit(1000)) < int(frac * 1000))
-        vcol = "_val"
-    est = make_learner(kind, label, name=name, trees=p.get("trees", trees), weight_col=wcol, validation_col=vcol,
-                       reg_param=reg)
-    if p.get("scaled"):
-        raise ValueError("scaled learners need prepare_scaled input")
-    return est.fit(data)
+    return make_learner(kind, label, name=name, weight_col=wcol, reg_param=reg).fit(data)
 
 
 def out_of_fold(
@@ -273,7 +250,6 @@ def out_of_fold(
     key: str,
     fold_col: str = "fold",
     k: int = 5,
-    trees: int = DEFAULT_TREES,
     weighting=None,
     early_stopping: bool = True,
     parallelism: int | None = None,
@@ -287,7 +263,7 @@ def out_of_fold(
         f, name, kind = job
         train = data.where(F.col(fold_col) != f)
         held = data.where(F.col(fold_col) == f) if early_stopping else None
-        return FoldFit(name, f, fit_one(train, kind, name, label, trees, weighting, held))
+        return FoldFit(name, f, fit_one(train, kind, name, label, weighting, held))
 
     with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
         fits = list(pool.map(run, jobs))
@@ -326,7 +302,6 @@ def stack(
     key: str,
     fold_col: str = "fold",
     k: int = 5,
-    trees: int = DEFAULT_TREES,
     refit: bool = True,
     parallelism: int | None = None,
 ) -> StackResult:
@@ -334,7 +309,7 @@ def stack(
     (SPL-3), then bases refit on all rows and the meta model on all OOF rows."""
     from stressframe.session import cut_lineage
 
-    res = out_of_fold(prep.data, bases, label, key, fold_col, k, trees, parallelism=parallelism)
+    res = out_of_fold(prep.data, bases, label, key, fold_col, k, parallelism=parallelism)
     # the OOF table is small (one row per input row, a few doubles) but its
     # lineage holds k x m model applications: write it to the checkpoint folder
     oof = cut_lineage(res.oof)
@@ -343,7 +318,7 @@ def stack(
     for f in range(k):
         asm, m = _meta_fit(oof.where(F.col(fold_col) != f), cols, label)
         held = asm.transform(oof.where(F.col(fold_col) == f))
-        metas.append(m.transform(held).select(key, prob1("meta").alias("prob_meta")))
+        metas.append(m.transform(held).select(*oof.columns, prob1("meta").alias("prob_meta")))
         coef_rows += [(f, c, float(v)) for c, v in zip(cols, m.coefficients.toArray())]
     meta_oof = metas[0]
     for p in metas[1:]:
@@ -352,19 +327,19 @@ def stack(
     coefs = spark.createDataFrame(coef_rows, "fold int, feature string, coefficient double")
     model = None
     if refit:
-        model = _refit_stack(prep, bases, label, trees, oof, cols, parallelism)
+        model = _refit_stack(prep, bases, label, oof, cols, parallelism)
     # everything downstream reads the checkpointed OOF table
     prep.data.unpersist()
-    return StackResult(oof.join(meta_oof, key), coefs, model)
+    return StackResult(cut_lineage(meta_oof), coefs, model)
 
 
-def _refit_stack(prep: Prepared, bases: dict[str, str], label: str, trees: int, oof: DataFrame, cols, parallelism):
+def _refit_stack(prep: Prepared, bases: dict[str, str], label: str, oof: DataFrame, cols, parallelism):
     """Bases on all rows (no early stopping), meta on all OOF rows, as one PipelineModel."""
     data = prep.data
 
     def run(item):
         name, kind = item
-        return fit_one(data, kind, name, label, trees, None, None)
+        return fit_one(data, kind, name, label)
 
     with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
         base_models = list(pool.map(run, bases.items()))
@@ -429,58 +404,45 @@ def random_search(
     trials: int = 20,
     seed: int = SEED,
     parallelism: int | None = None,
-    weighting: str | float = "ratio",
+    pos_weight: float | None = None,
+    early_stopping: bool = False,
 ):
-    """Trials x folds fits; returns (trials table (trial, params, fold, auc),
-    best params, refit model on all rows)."""
+    """Trials x folds boosted fits of a preset with drawn parameters; returns the
+    table (trial, params, fold, auc, rounds) and the parameters with the best mean.
+    ``pos_weight`` is one number for all fits (None: the preset's or the draw's)."""
     from stressframe.operators.metrics import roc_auc
 
     draws = draw_params(space, trials, seed)
     data = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    jobs = [(t, f) for t in range(trials) for f in range(k)]
-
-    def run(job):
-        t, f = job
-        p = dict(draws[t])
-        trees = int(p.pop("trees", DEFAULT_TREES))
-        train = data.where(F.col(fold_col) != f)
-        w0, w1 = class_weights(train, label, weighting)  # per-fold neg/pos, as the searched booster
-        est = make_learner(kind, label, name="s", trees=trees, weight_col="_w", **p)
-        model = est.fit(train.withColumn("_w", weight_column(label, w0, w1)))
-        return t, f, model
-
-    with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
-        fits = list(pool.map(run, jobs))
-    parts = [
-        m.transform(data.where(F.col(fold_col) == f)).select(
-            F.lit(t).alias("trial"), F.lit(f).alias(fold_col), label, prob1("s").alias("score")
-        )
-        for t, f, m in fits
-    ]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    aucs = roc_auc(scored, label, "score", by=("trial", fold_col))
-    spark = prepared.sparkSession
-    params = spark.createDataFrame([(t, json.dumps(d, sort_keys=True)) for t, d in enumerate(draws)], "trial int, params string")
-    table = aucs.join(params, "trial").select("trial", "params", fold_col, "auc")
+    try:
+        def run(job):
+            t, f = job
+            params = boost_params(kind, pos_weight, early_stopping, **draws[t])
+            held = data.where(F.col(fold_col) == f) if early_stopping else None
+            return t, f, fit_boost(data.where(F.col(fold_col) != f), label, "s", params, held)
+
+        with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
+            fits = list(pool.map(run, [(t, f) for t in range(trials) for f in range(k)]))
+        scored = None
+        for f in range(k):  # one pass over a fold's rows for all its models
+            part = data.where(F.col(fold_col) == f)
+            for t, g, m in fits:
+                if g == f:
+                    part = m.copy({m.name: f"t{t}"}).transform(part)
+            structs = [F.struct(F.lit(t).alias("trial"), prob1(f"t{t}").alias("score")) for t in range(trials)]
+            part = part.select(F.lit(f).alias(fold_col), label, F.inline(F.array(*structs)))
+            scored = part if scored is None else scored.unionByName(part)
+        aucs = roc_auc(scored, label, "score", by=("trial", fold_col))
+        spark = prepared.sparkSession
+        rows = [(t, json.dumps(draws[t], sort_keys=True), f, m.rounds) for t, f, m in fits]
+        known = spark.createDataFrame(rows, f"trial int, params string, {fold_col} int, rounds int")
+        from stressframe.session import cut_lineage
+
+        table = cut_lineage(aucs.join(known, ["trial", fold_col]).select("trial", "params", fold_col, "auc", "rounds"))
+    finally:
+        data.unpersist()
     means = table.groupBy("trial").agg(F.avg("auc").alias("mean_auc")).orderBy(F.col("mean_auc").desc(), "trial").first()
-    best = dict(draws[means["trial"]])
-    trees = int(best.pop("trees", DEFAULT_TREES))
-    w0, w1 = class_weights(data, label, weighting)
-    final = make_learner(kind, label, name="s", trees=trees, weight_col="_w", **best).fit(
-        data.withColumn("_w", weight_column(label, w0, w1))
-    )
-    return table, draws[means["trial"]], final
-
-
-def importances(model, feature_names: list[str], top: int | None = None, spark=None) -> DataFrame:
-    """Impurity importance per named feature, descending (EXP-1, SRT-2, SRT-3)."""
-    vals = model.featureImportances.toArray()
-    rows = sorted(zip(feature_names, [float(v) for v in vals]), key=lambda r: (-r[1], r[0]))
-    if top:
-        rows = rows[:top]
-    return spark.createDataFrame(rows, "feature string, importance double")
+    return table, draws[means["trial"]]
 
 
 def scaled_frames(train: DataFrame, apply_to: DataFrame, numeric: list[str], label: str, keep: tuple[str, ...]):

@@ -6,40 +6,41 @@ caller-given contiguous buckets such as hash prefixes); each bucket totals its
 rows (small table: groups x buckets), bucket offsets come from a window over
 that small table, and every bucket then runs its own windowed prefix sum plus
 its offset. Only bounded data (boundaries, the bucket-total table) is ever
-gathered; no task holds more than one bucket.
+gathered; no task holds more than one bucket. How many buckets there are changes
+the plan, never the result.
 
 Used by exact quantiles, ROC / PR curves and stratified folds.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1 << 21  # ~2M keys per window partition
-MAX_BUCKETS = 4096
-_GRID = 1024  # quantile grid probed in the single statistics pass
+
+
+def null_safe(left: str, right: str, cols: list[str]) -> Column:
+    """Join condition on ``cols`` of two aliased frames; NULL keys match NULL keys."""
+    return functools.reduce(Column.__and__, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in cols])
 
 
 def quantile_buckets(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame | None:
     """Add ``_bucket``: contiguous ranges of ``order_col`` holding about
-    ``rows_per_bucket`` rows each. One statistics pass (count + grid of
-    approximate quantiles); the boundaries collected are bounded by the grid.
+    ``rows_per_bucket`` rows each; the number of buckets follows from one count,
+    the boundaries from approximate quantiles at as many points.
     Returns None when everything fits in one bucket."""
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(F.col(order_col).cast("double"), [i / _GRID for i in range(1, _GRID)], 10 * _GRID).alias("q"),
-    ).first()
-    n, grid = stats["n"], stats["q"] or []
-    nb = min(MAX_BUCKETS, _GRID, max(1, math.ceil(n / rows_per_bucket)))
-    if nb == 1 or not grid:
+    n = df.count()
+    nb = max(1, math.ceil(n / rows_per_bucket))
+    if nb == 1:
         return None
-    step = len(grid) / nb
-    picks = sorted({float(grid[min(len(grid) - 1, int(round(step * i)) - 1)]) for i in range(1, nb)})
-    splits = [-math.inf, *[b for b in picks if math.isfinite(b)], math.inf]
+    points = [i / nb for i in range(1, nb)]
+    grid = df.agg(F.percentile_approx(F.col(order_col).cast("double"), points, 10 * nb).alias("q")).first()["q"] or []
+    splits = [-math.inf, *sorted({float(b) for b in grid if math.isfinite(b)}), math.inf]
     keyed = df.withColumn("_okey", F.col(order_col).cast("double"))
     out = Bucketizer(splits=splits, inputCol="_okey", outputCol="_bucket", handleInvalid="keep").transform(keyed)
     return out.drop("_okey")
@@ -83,7 +84,9 @@ def running_totals(
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
         *[F.sum(f"_t_{c}").over(whole).alias(f"total_{c}") for c in sum_cols],
     )
-    joined = bucketed.join(offsets, on=[*by, bucket_col], how="inner")
+    # null-safe: rows whose group key is NULL are a group like any other
+    added = [F.col(f"o.`{c}`") for c in offsets.columns if c not in (*by, bucket_col)]
+    joined = bucketed.alias("r").join(offsets.alias("o"), null_safe("r", "o", [*by, bucket_col])).select("r.*", *added)
     running = (
         Window.partitionBy(*by, bucket_col)
         .orderBy(*order_cols)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from stressframe.operators.quantile import exact_quantiles
 from stressframe.schemas import numeric_columns
+from stressframe.session import cut_lineage
 
 INF = float("inf")
 
@@ -136,7 +137,9 @@ def stats_by(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
 
 def describe_exact(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per column with exact
-    interpolated quartiles (AGG-11; ``summary()`` quartiles are approximate)."""
+    interpolated quartiles (AGG-11; ``summary()`` quartiles are approximate).
+    The columns are derived once and stored for all passes."""
+    df = cut_lineage(df.select(*cols))
     moments = df.agg(
         *[
             F.struct(

@@ -1,11 +1,12 @@
-"""Exact quantiles with linear interpolation, distributed.
+"""Exact quantiles with linear interpolation, without a sort of the data.
 
-``percentile`` keeps a map of every distinct value of a group in one buffer,
-so a global quantile over a huge column lands in one task. Here values are
-first counted per distinct value (map-side combine: a value held by a third of
-all rows collapses to one row), ranked by distributed running counts, and the
-two order statistics around ``q * (n - 1)`` are picked by a join against a
-small target table (groups x columns x probabilities).
+The two order statistics around ``q * (n - 1)`` are bracketed by approximate
+quantiles; one aggregation counts the values below and inside every bracket (so
+a bracket that misses its rank is seen and widened, never trusted); brackets that
+still hold many values are narrowed inside themselves; and only the few values
+left in a bracket are gathered.  All columns, probabilities and groups share each
+pass, and every pass is a partial aggregation over one stored narrow table: no
+exchange carries the values and no key holds a column.
 
 Interpolation: ``lo + (hi - lo) * (pos - floor(pos))`` with ``pos = q*(n-1)``
 (0-based ranks), the rule of pandas ``quantile`` / numpy 'linear'.
@@ -13,68 +14,130 @@ Interpolation: ``lo + (hi - lo) * (pos - floor(pos))`` with ``pos = q*(n-1)``
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import functools
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stressframe.operators.prefix import running_totals
-
-
-def long_values(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> DataFrame:
-    """(*by, column, value) for non-null, non-NaN values of ``cols``."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    out = df.select(*by, F.inline(pairs))
-    return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
-
-
-def value_counts(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> DataFrame:
-    """(*by, column, value, w): one row per distinct value (map-side combined)."""
-    return long_values(df, cols, tuple(by)).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("w"))
-
-
-def exact_quantiles(
-    df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = (), rows_per_bucket: int | None = None,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Rows (*by, column, prob, value) for each column and probability.
-    ``counted`` may pass a precomputed (persisted) ``value_counts``."""
-    by = tuple(by)
-    if counted is None:
-        counted = value_counts(df, cols, by)
-    extra = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
-    ranked = running_totals(counted, "value", ["w"], by=(*by, "column"), **extra)
-    ranked = ranked.withColumn("before", F.col("cum_w") - F.col("w"))
-    sizes = counted.groupBy(*by, "column").agg(F.sum("w").alias("n"))
-    pos = F.col("prob") * (F.col("n") - 1)
-    targets = sizes.select(
-        *by, "column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    ).select(*by, "column", "prob", pos.alias("pos"), F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"))
-    hit = ranked.join(targets, on=[*by, "column"], how="inner").where(
-        ((F.col("before") <= F.col("lo")) & (F.col("lo") < F.col("cum_w")))
-        | ((F.col("before") <= F.col("hi")) & (F.col("hi") < F.col("cum_w")))
-    )
-    is_lo = (F.col("before") <= F.col("lo")) & (F.col("lo") < F.col("cum_w"))
-    is_hi = (F.col("before") <= F.col("hi")) & (F.col("hi") < F.col("cum_w"))
-    picked = hit.groupBy(*by, "column", "prob").agg(
-        F.max(F.when(is_lo, F.col("value"))).alias("v_lo"),
-        F.max(F.when(is_hi, F.col("value"))).alias("v_hi"),
-        F.first("pos").alias("pos"),
-    )
-    frac = F.col("pos") - F.floor("pos")
-    return picked.select(
-        *by, "column", "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value")
-    )
-
-
-def quantile_rows(df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = ()) -> list:
-    """Collected quantiles (bounded: groups x columns x probabilities). The
-    per-value counts are persisted for the few passes of the computation, so
-    ``df``'s lineage runs once, and released before returning."""
-    counted = value_counts(df, cols, by).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return exact_quantiles(df, cols, probs, by, counted=counted).collect()
-    finally:
-        counted.unpersist()
+from stressframe.session import cut_lineage
+
+ACCURACY = 10_000
+GATHER = 10_000  # distinct values of one bracket that may reach the driver
+
+
+@dataclass
+class _Target:
+    """One (group, column, probability): the bracket [low, high] holds both ranks."""
+
+    group: tuple
+    column: int
+    prob: float
+    n: int
+    low: float
+    high: float
+    below: int = 0  # values under low
+    inside: int = 0
+
+    @property
+    def pos(self) -> float:
+        return self.prob * (self.n - 1)
+
+
+def _value(by: tuple[str, ...], group: tuple, column: int) -> Column:
+    """The column's value in rows of the group, else NULL."""
+    same = [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, group)]
+    v = F.col(f"_v{column}")
+    return F.when(functools.reduce(Column.__and__, same), v) if same else v
+
+
+def _narrow(data: DataFrame, by, todo: list[_Target]) -> None:
+    """Tighten the brackets of ``todo`` by approximate quantiles inside them, then count."""
+    asked = []
+    for i, t in enumerate(todo):
+        v = _value(by, t.group, t.column)
+        inner = F.when((v >= t.low) & (v <= t.high), v)
+        at = [(math.floor(t.pos) - t.below) / max(1, t.inside), (math.ceil(t.pos) - t.below + 1) / max(1, t.inside)]
+        span = 2.0 / ACCURACY
+        asked.append(F.percentile_approx(inner, [max(0.0, at[0] - span), min(1.0, at[1] + span)], ACCURACY).alias(f"q{i}"))
+    row = data.agg(*asked).first()
+    tight = [tuple(row[f"q{i}"]) for i in range(len(todo))]
+    counts = []
+    for i, (t, (low, high)) in enumerate(zip(todo, tight)):
+        v = _value(by, t.group, t.column)
+        counts += [F.count_if(v < low).alias(f"b{i}"), F.count_if((v >= low) & (v <= high)).alias(f"i{i}")]
+    row = data.agg(*counts).first()
+    for i, (t, (low, high)) in enumerate(zip(todo, tight)):
+        b, n = row[f"b{i}"], row[f"i{i}"]
+        if b <= math.floor(t.pos) and math.ceil(t.pos) < b + n:
+            t.low, t.high, t.below, t.inside = low, high, b, n
+        elif b > math.floor(t.pos):  # the rank lies under the new bracket: keep the part up to it
+            t.high, t.inside = high, b + n - t.below
+        else:
+            t.inside, t.low, t.below = t.below + t.inside - b, low, b
+
+
+def _targets(data: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...]) -> list[_Target]:
+    aggs = [F.struct(F.count(f"_v{i}").alias("n"), F.min(f"_v{i}").alias("lo"), F.max(f"_v{i}").alias("hi")).alias(f"s{i}") for i in range(len(cols))]
+    out = []
+    for row in data.groupBy(*by).agg(*aggs).collect():  # the caller's groups
+        for i in range(len(cols)):
+            s = row[f"s{i}"]
+            if s["n"]:
+                out += [_Target(tuple(row[c] for c in by), i, float(p), s["n"], s["lo"], s["hi"], 0, s["n"]) for p in probs]
+    return out
+
+
+def quantile_rows(
+    df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = (), gather: int = GATHER
+) -> list[dict]:
+    """{*by, column, prob, value} for each group, column and probability; NULL and NaN
+    are left out, a column without values has no row."""
+    by, cols = tuple(by), list(cols)
+    x = [F.col(c).cast("double") for c in cols]
+    data = cut_lineage(df.select(*by, *[F.when(~F.isnan(v), v).alias(f"_v{i}") for i, v in enumerate(x)]))
+    targets = _targets(data, cols, probs, by)
+    while todo := [t for t in targets if t.low < t.high and t.inside > gather]:
+        before = [t.inside for t in todo]
+        _narrow(data, by, todo)
+        if [t.inside for t in todo] == before:
+            break  # a few values with many copies each: their counts fit
+    open_ = [t for t in targets if t.low < t.high]
+    found: dict[int, list[tuple[float, int]]] = {}
+    if open_:
+        items = []
+        for i, t in enumerate(open_):
+            v = _value(by, t.group, t.column)
+            items.append(F.when((v >= t.low) & (v <= t.high), F.struct(F.lit(i).alias("i"), v.alias("v"))))
+        inside = data.select(F.inline(F.array_compact(F.array(*items))))
+        for r in inside.groupBy("i", "v").count().collect():
+            found.setdefault(r["i"], []).append((r["v"], r["count"]))
+    out = []
+    for t in targets:
+        a, b = math.floor(t.pos), math.ceil(t.pos)
+        picks = {}
+        if t.low == t.high:
+            picks = {a: t.low, b: t.low}
+        else:
+            at = t.below
+            for v, n in sorted(found[open_.index(t)]):
+                for rank in (a, b):
+                    if at <= rank < at + n:
+                        picks[rank] = v
+                at += n
+        value = picks[a] + (picks[b] - picks[a]) * (t.pos - a) if a != b else picks[a]
+        out.append({**dict(zip(by, t.group)), "column": cols[t.column], "prob": t.prob, "value": value})
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = (), gather: int = GATHER) -> DataFrame:
+    """Rows (*by, column, prob, value): ``quantile_rows`` as a small frame."""
+    rows = quantile_rows(df, cols, probs, by, gather)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in by), "column string", "prob double", "value double"])
+    names = [*by, "column", "prob", "value"]
+    return df.sparkSession.createDataFrame([tuple(r[c] for c in names) for r in rows], schema)
 
 
 def quantile_map(df: DataFrame, cols: list[str], prob: float) -> dict[str, float]:

@@ -1,13 +1,13 @@
 """Deterministic stratified splits and folds (SPL-1..3).
 
-Rows are ordered within their label by ``xxhash64(key, seed)`` (ties broken by
-the key), ranked with distributed running counts, and assigned
+Rows are ordered within their label by the first 60 bits of
+``md5(key|...|seed)`` (a hash every SQL engine has; ties broken by the key), ranked with distributed running counts, and assigned
 ``fold = (rank - 1) mod k``: every fold gets floor or ceil of n_label / k rows
 of each label, the assignment is a pure function of (key, seed) and so is
 stable under retries and re-partitioning.
 
 Two labels give only two rank groups, so ranking uses contiguous hash-prefix
-buckets (``shiftright(hash, 64 - bits)`` is monotone in the hash): each bucket
+buckets (``shiftright(hash, 60 - bits)`` is monotone in the hash): each bucket
 ranks its own rows and adds the row count of the lower buckets, so no task
 holds a whole label.
 """
@@ -19,22 +19,22 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stressframe.operators.prefix import ROWS_PER_BUCKET, running_totals
+from stressframe.operators.prefix import ROWS_PER_BUCKET, null_safe, running_totals
 
 DEFAULT_SEED = 42
-MAX_BITS = 16
+HASH_BITS = 60
 
 
 def hash_rank(df: DataFrame, keys: list[str], seed: int, by: tuple[str, ...], rows_per_bucket: int) -> DataFrame:
-    """Add ``_rank`` (1-based, within ``by``, in ``xxhash64(keys, seed)`` order,
-    ties by key) and ``_n`` (group size). Buckets are hash prefixes sized from
+    """Add ``_rank`` (1-based, within ``by``, in ``md5(keys|seed)`` order, ties by key) and ``_n`` (group size). Buckets are hash prefixes sized from
     one count, so each window partition holds about ``rows_per_bucket`` rows."""
     n = df.count()
-    bits = min(MAX_BITS, max(0, math.ceil(math.log2(max(1.0, n / rows_per_bucket)))))
-    h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    bits = max(0, math.ceil(math.log2(max(1.0, n / rows_per_bucket))))
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    h = F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, HASH_BITS // 4), 16, 10).cast("long")
     keyed = df.withColumn("_h", h).withColumn("_one", F.lit(1))
     if bits > 0:
-        keyed = keyed.withColumn("_b", F.shiftright(F.col("_h"), 64 - bits))
+        keyed = keyed.withColumn("_b", F.shiftright(F.col("_h"), HASH_BITS - bits))
         ranked = running_totals(keyed, ["_h", *keys], ["_one"], by=by, bucket_col="_b").drop("_b")
     else:
         ranked = running_totals(keyed, ["_h", *keys], ["_one"], by=by, single_bucket=True)
@@ -61,7 +61,7 @@ def stratified_folds(
         groups = df.select(group).distinct()
         ranked = hash_rank(groups, [group], seed, (), rows_per_bucket)
         folds = ranked.select(group, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int").alias("fold"))
-        return df.join(folds, on=group, how="inner")
+        return df.alias("r").join(folds.alias("f"), null_safe("r", "f", [group])).select("r.*", "f.fold")
     ranked = hash_rank(df, keys, seed, (label,), rows_per_bucket)
     return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_n")
 

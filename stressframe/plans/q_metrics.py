@@ -154,7 +154,12 @@ def q_fold_counts(spark, sf_dir):
     return folds.groupBy(LABEL, "fold").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("stratified_folds")
+@query(
+    "stratified_folds",
+    f"{W2}, r AS (SELECT statement_id, default_next_4_weeks, ROW_NUMBER() OVER (PARTITION BY default_next_4_weeks "
+    "ORDER BY SUBSTR(MD5(CAST(statement_id AS VARCHAR) || '|42'), 1, 15), statement_id) AS k FROM stress_statement) "
+    "SELECT statement_id, default_next_4_weeks, CAST((k - 1) % 5 AS INT) AS fold FROM r",
+)
 def q_folds(spark, sf_dir):
     return stratified_folds(stress_statement(spark, sf_dir), LABEL, "statement_id", k=5, seed=42).select(
         "statement_id", LABEL, "fold"
@@ -173,7 +178,13 @@ def q_split_counts(spark, sf_dir):
     return split.groupBy(TARGET_V1, "is_test").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("stratified_split")
+@query(
+    "stratified_split",
+    f"{W1}, r AS (SELECT customer_id, default_next_30_days, ROW_NUMBER() OVER (PARTITION BY default_next_30_days "
+    "ORDER BY SUBSTR(MD5(CAST(customer_id AS VARCHAR) || '|42'), 1, 15), customer_id) AS k, "
+    "COUNT(*) OVER (PARTITION BY default_next_30_days) AS n FROM risk_customer) "
+    "SELECT customer_id, default_next_30_days, CAST(CASE WHEN k <= FLOOR(0.2e0*n + 0.5e0) THEN 1 ELSE 0 END AS INT) AS is_test FROM r",
+)
 def q_split(spark, sf_dir):
     return stratified_split(risk_customer(spark, sf_dir), TARGET_V1, "customer_id", 0.2, 42).select(
         "customer_id", TARGET_V1, "is_test"

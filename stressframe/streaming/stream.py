@@ -9,8 +9,10 @@ No state, watermark or window is needed (the reference has none).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stressframe.functions.columns import nan_to_null_all
 from stressframe.operators.clean import clean
 from stressframe.operators.features import ClipLimitsModel, add_features
 from stressframe.operators.policy import assess
@@ -19,12 +21,22 @@ from stressframe.schemas import V2, detect_target
 
 def statement_stream(spark: SparkSession, path: str, schema: T.StructType = V2, fmt: str = "parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).format(fmt)
+    """A stream of statement files with the batch reader's rules: CSV columns bind by
+    header name (the header of the files that are there at the start; a later file
+    with another header is an error, not a silent swap), NaN becomes NULL."""
+    if fmt == "csv":
+        names = spark.read.option("header", True).csv(path).columns
+        kinds = {f.name: f.dataType for f in schema.fields}
+        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        reader = spark.readStream.schema(text).format("csv").option("header", True).option("enforceSchema", False)
+    else:
+        reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    df = reader.load(path)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.load(path)
+        df = df.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in names])
+    return nan_to_null_all(df)
 
 
 def score_statements(df: DataFrame, caps: ClipLimitsModel | None = None, base: str = "unified_stress_index",
@@ -46,16 +58,16 @@ def start_to_parquet(df: DataFrame, out_path: str, checkpoint: str, available_no
 
 
 def stream_scored_statements(spark: SparkSession, statements: DataFrame, caps: ClipLimitsModel,
-                             workdir: str, files: int = 4) -> DataFrame:
-    """Land ``statements`` as files, score them with a Structured Streaming
-    query (one file per trigger, exactly-once parquet sink) and return what
+                             workdir: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Land ``statements`` as files (as many as the table has partitions), score them
+    with a Structured Streaming query (exactly-once parquet sink) and return what
     the stream wrote. ``workdir`` must be shared storage on a cluster."""
     import uuid
 
     run = uuid.uuid4().hex
     src, out, ckpt = (f"{workdir}/stream-{run}/{p}" for p in ("in", "out", "ckpt"))
-    statements.repartition(files).write.parquet(src)
-    stream = score_statements(statement_stream(spark, src, schema=statements.schema, max_files_per_trigger=1), caps)
+    statements.write.parquet(src)
+    stream = score_statements(statement_stream(spark, src, schema=statements.schema, max_files_per_trigger=files_per_trigger), caps)
     query = start_to_parquet(stream.drop("factors", "actions"), out, ckpt)
     query.awaitTermination()
     if query.exception() is not None:

@@ -40,11 +40,14 @@ def test_checkpoint_dir_comes_from_session(spark):
     assert ensure_checkpoint_dir(spark).startswith(configured.rstrip("/")) or configured in ensure_checkpoint_dir(spark)
 
 
-def test_materialize_sizes_partitions(spark):
+def test_materialize_depends_on_rows_only(spark):
+    def layout(df):
+        return [sorted(r.id for r in part) for part in df.rdd.glom().collect()]
+
     small = MD.materialize(spark.range(5000).repartition(8))
     assert small.rdd.getNumPartitions() == 1  # 5k rows: one task
-    big = MD.materialize(spark.range(50_000).coalesce(1))
-    cores = spark.sparkContext.defaultParallelism
-    assert big.rdd.getNumPartitions() == min(cores, 5)
-    assert MD.fit_concurrency(small) == min(8, cores)
+    one = MD.materialize(spark.range(50_000).coalesce(1))
+    seven = MD.materialize(spark.range(50_000).repartition(7))
+    assert one.rdd.getNumPartitions() == 5 and layout(one) == layout(seven)
+    assert MD.fit_concurrency(small) == spark.sparkContext.defaultParallelism
     assert MD.fit_concurrency(small, requested=2) == 2

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from stressframe.operators import boost
 from stressframe.operators import models as MD
 from stressframe.operators.encode import ImputeScale, ImputeScaleModel, OneHot, OneHotModel
 from stressframe.operators.metrics import roc_auc
@@ -19,7 +21,7 @@ from tests.conftest import SMALL
 @pytest.fixture(scope="module")
 def stacked(spark):
     prep = stack_input(spark, SMALL)
-    res = MD.stack(prep, BASES, "default_next_4_weeks", "statement_id", trees=8, refit=True)
+    res = MD.stack(prep, BASES, "default_next_4_weeks", "statement_id", refit=True)
     return prep, res
 
 
@@ -90,7 +92,82 @@ def test_draw_params_ranges():
     draws = MD.draw_params(TUNE_SPACE, 30, seed=1)
     assert len(draws) == 30
     for d in draws:
-        assert 50 <= d["trees"] <= 200 and 3 <= d["maxDepth"] <= 12
-        assert 0.005 <= d["stepSize"] <= 0.1 and 0.6 <= d["subsamplingRate"] <= 1.0
+        assert 500 <= d["rounds"] <= 2000 and 3 <= d["depth"] <= 12 and 20 <= d["leaves"] <= 150
+        assert 0.005 <= d["rate"] <= 0.1 and 0.6 <= d["row_rate"] <= 1.0 and 1.0 <= d["pos_weight"] <= 10.0
     assert MD.draw_params(SEARCH_SPACE, 20, seed=42) == MD.draw_params(SEARCH_SPACE, 20, seed=42)
-    assert all(d["maxDepth"] in SEARCH_SPACE["maxDepth"] for d in MD.draw_params(SEARCH_SPACE, 20))
+    assert all(d["depth"] in SEARCH_SPACE["depth"] for d in MD.draw_params(SEARCH_SPACE, 20))
+
+
+# (preset: rounds, rate, depth, leaves, rows per child, row rate, column rate, L1, L2, weight, patience), written out from the recipes
+RECIPES = {
+    "lgbm": (1351, 0.031, 3, 40, 71, 0.956, 0.837, 7e-05, 0.0008, 2.475, 50),
+    "lgbm_final": (1351, 0.03118, 3, 40, 71, 0.9558, 0.8371, 7e-05, 0.0008, 2.4752, 50),
+    "lgbm_optimized": (1000, 0.03, 0, 31, 20, 0.8, 0.8, 0.0, 0.0, 1.0, 50),
+    "lgbm_simple": (500, 0.05, 4, 15, 50, 1.0, 1.0, 1.0, 1.0, 1.0, 50),
+    "xgb": (1000, 0.03, 4, 0, 1, 0.8, 0.8, 0.0, 1.0, 2.5, 50),
+    "xgb_default": (100, 0.3, 6, 0, 1, 1.0, 1.0, 0.0, 1.0, 1.0, 0),
+    "xgb_vote": (300, 0.05, 6, 0, 1, 0.8, 0.8, 0.0, 1.0, 1.0, 0),
+    "cat": (1000, 0.03, 6, 0, 1, 1.0, 1.0, 0.0, 3.0, 2.5, 50),
+    "cat_alone": (2000, 0.02, 6, 0, 1, 1.0, 1.0, 0.0, 3.0, 1.0, 100),
+    "ceiling": (500, 0.1, 0, 31, 20, 1.0, 1.0, 0.0, 0.0, 1.0, 0),
+    "gb": (200, 0.05, 5, 0, 1, 1.0, 1.0, 0.0, 0.0, 1.0, 10),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(RECIPES))
+def test_recipe_parameters(kind):
+    p = MD.boost_params(kind)
+    got = (p.rounds, p.rate, p.depth, p.leaves, p.min_rows, p.row_rate, p.col_rate, p.l1, p.l2, p.pos_weight, p.patience)
+    assert got == RECIPES[kind]
+
+
+def _toy(n=3000, seed=0):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, 6)), 2)
+    odds = 2 * x[:, 0] + x[:, 1] * x[:, 2]
+    return x, (rng.random(n) < 1 / (1 + np.exp(-odds))).astype(float), odds
+
+
+def test_boost_learns_and_waits():
+    x, y, odds = _toy()
+    p = boost.Boost(rounds=400, rate=0.1, depth=4, min_rows=5, patience=20)
+    m = boost.fit_arrays(x[:2000], y[:2000], p, x[2000:], y[2000:])
+    trees = [{k: np.array(v) for k, v in t.items()} for t in m["trees"]]
+    raw = np.full(1000, m["base"])
+    scores = []
+    for t in trees:
+        raw = raw + boost.walk(t, x[2000:], "cut")
+        scores.append(boost.auc(y[2000:], raw))
+    assert scores[-1] > 0.9 * boost.auc(y[2000:], odds[2000:])
+    assert len(trees) < 400 and scores[-1] == max(scores)  # the best round is kept ...
+    gaps = np.diff([k for k in range(len(scores)) if scores[k] == max(scores[: k + 1])])
+    assert len(trees) > 3 and gaps.max() > 1  # ... though rounds without a gain lie before it
+    assert boost.fit_arrays(x[:500], y[:500], boost.Boost(rounds=30))["rounds"] == 30  # no patience: all rounds
+
+
+def test_boost_controls():
+    x, y, _ = _toy(800)
+    one = boost.fit_arrays(x, y, boost.Boost(rounds=1, rate=1.0, leaves=4, min_rows=100))
+    t = one["trees"][0]
+    leaf = [k for k, c in enumerate(t["col"]) if c < 0]
+    assert len(leaf) <= 4
+    at = boost.walk({**{k: np.array(v) for k, v in t.items()}, "value": np.arange(len(t["col"]), dtype=float)}, x, "cut")
+    assert min(np.sum(at == k) for k in leaf) >= 100
+    deep = boost.fit_arrays(x, y, boost.Boost(rounds=1, depth=2))["trees"][0]
+    assert sum(c < 0 for c in deep["col"]) <= 4
+    assert boost.fit_arrays(x, y, boost.Boost(rounds=2, l1=1e9))["trees"][0]["col"] == [-1]  # L1 stops every split
+
+
+def test_fit_does_not_depend_on_partitions(spark, tmp_dir):
+    x, y, _ = _toy(500)
+    rows = [(int(k), int(y[k]), *map(float, x[k])) for k in range(500)]
+    df = spark.createDataFrame(rows, "id int, y int, a double, b double, c double, d double, e double, f double")
+    fits = []
+    for n in (1, 7):
+        data = MD.prepare(df.repartition(n), "y", list("abcdef"), keep=("id",)).data
+        fits.append(boost.fit_boost(data, "y", "m", boost.Boost(rounds=10, depth=3, row_rate=0.7, col_rate=0.7)))
+    assert fits[0].getOrDefault("payload") == fits[1].getOrDefault("payload")
+    path = os.path.join(tmp_dir, "boost")
+    fits[0].write().overwrite().save(path)
+    a, b = (m.transform(data).select("id", MD.prob1("m").alias("p")).collect() for m in (fits[0], boost.BoostModel.load(path)))
+    assert sorted(a) == sorted(b) and all(0 <= r.p <= 1 for r in a)

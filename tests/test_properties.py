@@ -39,7 +39,7 @@ def test_exact_quantiles_match_numpy(spark, scored):
     df, rows = scored
     vals = np.array([r[2] for r in rows])
     probs = [0.0, 0.25, 0.5, 0.99, 1.0]
-    got = {r.prob: r.value for r in exact_quantiles(df, ["score"], probs, rows_per_bucket=4).collect()}
+    got = {r.prob: r.value for r in exact_quantiles(df, ["score"], probs, gather=2).collect()}
     assert set(got) == set(probs)
     for q, v in got.items():
         assert v == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
@@ -130,3 +130,55 @@ def test_split_fraction(spark, scored):
         n = sum(1 for r in rows if r[1] == lab)
         t = sum(1 for r in s if r.label == lab and r.is_test == 1)
         assert t == int(np.floor(0.2 * n + 0.5))
+
+
+def test_null_keys_survive_both_paths(spark):
+    """Rows with a NULL group key are a group like any other, whatever the bucket size."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, None if i % 10 == 0 else i % 2, None if i % 7 == 0 else i % 5, float(i * 37 % 101)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, label int, grp int, x double")
+    for make in (
+        lambda n: stratified_folds(df, "label", "id", k=5, seed=42, **n),
+        lambda n: stratified_split(df, "label", "id", 0.2, 42, **n),
+        lambda n: stratified_folds(df, "label", "id", k=3, group="grp", **n),
+        lambda n: running_totals(df.withColumn("w", F.lit(1)).withColumn("o", F.col("x") * 1000 + F.col("id")), "o", ["w"], by=("label",), **n),
+        lambda n: running_totals(df.withColumn("w", F.lit(2)).withColumn("o", F.col("id")), "o", ["w"], by=("grp", "label"), **n),
+    ):
+        whole = sorted(make({}).collect(), key=lambda r: r.id)
+        cut = make({"rows_per_bucket": 50})
+        assert len(whole) == 1000
+        assert sorted(cut.select(*make({}).columns).collect(), key=lambda r: r.id) == whole
+
+
+def test_exact_quantiles_narrow_and_group(spark):
+    """Brackets are narrowed until few values are left; NULL, NaN and NULL groups are handled."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    vals = np.round(rng.normal(size=4000) * 50, 1)
+    rows = [(None if i % 9 == 0 else i % 2, None if i % 50 == 0 else float("nan") if i % 50 == 1 else float(v), 1.5) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "g int, x double, c double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.99, 1.0]
+    for gather in (3, 10_000):
+        got = {(r.g, r.column, r.prob): r.value for r in exact_quantiles(df, ["x", "c"], probs, by=("g",), gather=gather).collect()}
+        for g in (None, 0, 1):
+            own = [x for k, x, _ in rows if k == g and x is not None and x == x]
+            for p in probs:
+                assert got[g, "x", p] == pytest.approx(float(np.quantile(own, p)), abs=1e-9)
+                assert got[g, "c", p] == 1.5
+
+
+def test_ratio6_is_exact_for_large_sums(spark):
+    from fractions import Fraction
+
+    from pyspark.sql import functions as F
+
+    from stressframe.functions.exact import ratio6
+
+    pairs = [(405415943610, 820602924003), (5 * 10**12, 10**13), (-7 * 10**15, 3), (10**13 - 1, 10**13), (0, 5), (1, 3), (9 * 10**17, 10**12)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    for r in df.select("a", "b", ratio6(F.col("a"), F.col("b")).alias("r")).collect():
+        x = Fraction(r.a, r.b) * 10**6
+        k = int(abs(x) + Fraction(1, 2)) * (-1 if x < 0 else 1)
+        assert r.r == float(k) / 1e6
