@@ -209,11 +209,11 @@ class OOFResult:
     fits: list[FoldFit] = field(default_factory=list)
 
 
-def boost_params(kind: str, pos_weight: float | None = None, early_stop: bool = True, **overrides) -> Boost:
-    """The preset's boosting parameters, without those that do not belong to ``Boost``."""
-    p = {k: v for k, v in {**PRESETS[kind], **overrides}.items() if k in Boost.__dataclass_fields__}
-    if pos_weight is not None:
-        p["pos_weight"] = pos_weight
+def boost_params(kind: str, weight: float | None = None, early_stop: bool = True, **overrides) -> Boost:
+    """The preset's boosting parameters with ``weight`` for positives (None: the
+    preset's), without entries that do not belong to ``Boost``; ``overrides`` win."""
+    own = {} if weight is None else {"pos_weight": weight}
+    p = {k: v for k, v in {**PRESETS[kind], **own, **overrides}.items() if k in Boost.__dataclass_fields__}
     if not early_stop:
         p["patience"] = 0
     return Boost(**p)
