@@ -27,6 +27,18 @@ W1 = with_tables("risk_customer")
 W2 = with_tables("stress_statement")
 V1_COLS = [f.name for f in V1_SCHEMA.fields]
 V2_COLS = [f.name for f in V2_SCHEMA.fields]
+# The SQL's own column lists and quantile, written out apart from the code under test.
+_SQL_CLIP_V1 = ["income_drop_pct", "savings_decline_pct", "gambling_spend_increase_pct"]
+_SQL_CLIP_V2 = ["unified_stress_index", "gambling_spend", "total_spend"]
+_SQL_CORE = ("missed_payments_last_6m, failed_autodebit_count, risk_momentum_score, credit_utilization_ratio, "
+             "adjusted_obligation_burden, gambling_spend_increase_pct")
+_SQL_MODEL_V2 = (
+    "employment_type, monthly_income, emi_amount, credit_limit, salary_delay_days, total_spend, essential_spend, "
+    "discretionary_spend, gambling_spend, savings_balance, savings_decline_pct, liquidity_ratio, credit_utilization_ratio, "
+    "failed_autodebit_count, lending_app_txn_count, stress_momentum_score, behavioral_shock_index, unified_stress_index, "
+    "stress_acceleration, shock_amplification, income_utilization, gambling_ratio, delayed_liquidity_crunch, "
+    "savings_income_strain, utilization_headroom, total_delinquency_events"
+)
 _V2_MASK = "COALESCE(default_next_4_weeks=1 AND liquidity_ratio>2.0 AND unified_stress_index<0.2, FALSE)"
 
 
@@ -54,7 +66,7 @@ def q_features_v2(spark, sf_dir):
 
 @query(
     "clip_limits_v1",
-    f"{W1}, {S.quantile_caps('risk_customer', list(CLIP_V1), CLIP_QUANTILE)} SELECT column_name, cap FROM caps",
+    f"{W1}, {S.quantile_caps('risk_customer', _SQL_CLIP_V1, 0.99)} SELECT column_name, cap FROM caps",
 )
 def q_clip_limits_v1(spark, sf_dir):
     from stressframe.operators.quantile import exact_quantiles
@@ -65,7 +77,7 @@ def q_clip_limits_v1(spark, sf_dir):
 
 @query(
     "clip_limits_v2",
-    f"{W2}, {S.quantile_caps('stress_statement', [c for c in CLIP_V2 if c in V2_COLS], CLIP_QUANTILE)} "
+    f"{W2}, {S.quantile_caps('stress_statement', _SQL_CLIP_V2, 0.99)} "
     "SELECT column_name, cap FROM caps",
 )
 def q_clip_limits_v2(spark, sf_dir):
@@ -95,10 +107,10 @@ def transform_v2(spark, sf_dir) -> DataFrame:
 
 _V1_MASK = "COALESCE(default_next_30_days=1 AND missed_payments_last_6m=0 AND failed_autodebit_count=0 AND credit_score>700, FALSE)"
 _T1_SQL = f"""{W1}, cleaned AS (SELECT * FROM risk_customer WHERE NOT {_V1_MASK}),
-{S.quantile_caps('cleaned', list(CLIP_V1), CLIP_QUANTILE)},
+{S.quantile_caps('cleaned', _SQL_CLIP_V1, 0.99)},
 feat AS (SELECT *, {S.select_list(S.V1)} FROM cleaned)"""
 _T1_COLS = V1_COLS + list(S.V1)
-_T1_SELECT = S.replace_star(_T1_COLS, {c: S.capped(c) for c in CLIP_V1})
+_T1_SELECT = S.replace_star(_T1_COLS, {c: S.capped(c) for c in _SQL_CLIP_V1})
 
 
 @query("transform_v1", f"{_T1_SQL} SELECT {_T1_SELECT} FROM feat")
@@ -108,10 +120,10 @@ def q_transform_v1(spark, sf_dir):
 
 _V2_KEEP = [c for c in V2_COLS if c not in ID_COLUMNS]
 _T2_SQL = f"""{W2}, cleaned AS (SELECT {', '.join(_V2_KEEP)} FROM stress_statement WHERE NOT {_V2_MASK}),
-{S.quantile_caps('cleaned', [c for c in CLIP_V2 if c in V2_COLS], CLIP_QUANTILE)},
+{S.quantile_caps('cleaned', _SQL_CLIP_V2, 0.99)},
 feat AS (SELECT *, {S.select_list(S.V2)} FROM cleaned)"""
 _T2_COLS = _V2_KEEP + list(S.V2)
-_T2_SELECT = S.replace_star(_T2_COLS, {c: S.capped(c) for c in CLIP_V2 if c in V2_COLS})
+_T2_SELECT = S.replace_star(_T2_COLS, {c: S.capped(c) for c in _SQL_CLIP_V2})
 
 
 @query("transform_v2", f"{_T2_SQL} SELECT {_T2_SELECT} FROM feat")
@@ -121,7 +133,7 @@ def q_transform_v2(spark, sf_dir):
 
 @query(
     "align_columns",
-    f"{_T2_SQL}, t AS (SELECT {_T2_SELECT} FROM feat) SELECT statement_id, {', '.join(V2_MODEL_COLUMNS)} FROM t",
+    f"{_T2_SQL}, t AS (SELECT {_T2_SELECT} FROM feat) SELECT statement_id, {_SQL_MODEL_V2} FROM t",
 )
 def q_align_columns(spark, sf_dir):
     return align(round_log_feature(transform_v2(spark, sf_dir)), V2_MODEL_COLUMNS, keep=("statement_id",))
@@ -129,7 +141,7 @@ def q_align_columns(spark, sf_dir):
 
 @query(
     "select_core_features",
-    f"{_T1_SQL}, t AS (SELECT {_T1_SELECT} FROM feat) SELECT customer_id, {', '.join(CORE_FEATURES)}, default_next_30_days FROM t",
+    f"{_T1_SQL}, t AS (SELECT {_T1_SELECT} FROM feat) SELECT customer_id, {_SQL_CORE}, default_next_30_days FROM t",
 )
 def q_select_core_features(spark, sf_dir):
     return transform_v1(spark, sf_dir).select("customer_id", *CORE_FEATURES, TARGET_V1)

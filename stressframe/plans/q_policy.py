@@ -24,9 +24,14 @@ def scored(spark, sf_dir):
     return P.assess(add_features(stress_statement(spark, sf_dir), "v2"), BASE)
 
 
-def _chain(x: str, cuts, top: str) -> str:
-    whens = " ".join(f"WHEN {x} < {b}e0 THEN '{n}'" for b, n in cuts)
-    return f"CASE {whens} ELSE '{top}' END"
+# The SQL below writes out every cut, impact, text and scenario value itself; none comes
+# from the code under test.
+def _tier(x: str) -> str:
+    return f"CASE WHEN {x} < 0.3e0 THEN 'Low' WHEN {x} < 0.6e0 THEN 'Medium' WHEN {x} < 0.8e0 THEN 'High' ELSE 'Critical' END"
+
+
+def _status(x: str) -> str:
+    return f"CASE WHEN {x} < 0.3e0 THEN 'Low Risk' WHEN {x} < 0.7e0 THEN 'Monitor Closely' ELSE 'CRITICAL ALERT' END"
 
 
 _PEN = "CASE WHEN liquidity_ratio < 1.5e0 THEN (1.5e0-liquidity_ratio)*(1.5e0-liquidity_ratio) ELSE 0.0e0 END"
@@ -40,7 +45,7 @@ _SCORED = f"{W2}, s AS (SELECT *, {S.select_list(S.V2)}, {_FINAL} AS final_proba
 
 @query(
     "risk_tier",
-    f"{W2} SELECT statement_id, {BASE} AS base_probability, {_chain(BASE, P.TIERS, P.TIER_TOP)} AS risk_tier FROM stress_statement",
+    f"{W2} SELECT statement_id, {BASE} AS base_probability, {_tier(BASE)} AS risk_tier FROM stress_statement",
 )
 def q_risk_tier(spark, sf_dir):
     df = stress_statement(spark, sf_dir)
@@ -50,7 +55,7 @@ def q_risk_tier(spark, sf_dir):
 @query(
     "calibrated_probability",
     f"""{_SCORED} SELECT statement_id, {_PEN} AS liquidity_penalty, {_DAMP} AS savings_dampener,
-    final_probability, {_chain('final_probability', P.STATUSES, P.STATUS_TOP)} AS status,
+    final_probability, {_status('final_probability')} AS status,
     CASE WHEN final_probability*100 < 30 THEN 'lightgreen' WHEN final_probability*100 < 70 THEN 'yellow' ELSE 'red' END AS gauge_band,
     COALESCE(final_probability*100 >= 70, FALSE) AS gauge_alarm FROM s""",
 )
@@ -72,25 +77,25 @@ def q_calibrated(spark, sf_dir):
 
 @query(
     "risk_tier_counts",
-    f"{_SCORED} SELECT {_chain('final_probability', P.TIERS, P.TIER_TOP)} AS risk_tier, COUNT(*) AS n_rows FROM s GROUP BY 1",
+    f"{_SCORED} SELECT {_tier('final_probability')} AS risk_tier, COUNT(*) AS n_rows FROM s GROUP BY 1",
 )
 def q_tier_counts(spark, sf_dir):
     return scored(spark, sf_dir).groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_RULES_SQL = {
-    "High Financial Stress": "unified_stress_index > 0.5e0",
-    "Gambling Activity": "gambling_ratio > 0.05e0",
-    "Delayed Salary Crunch": "delayed_liquidity_crunch > 1.0e0",
-    "Overspending (Deficit)": "total_spend > monthly_income",
-    "Missed Auto-Debits": "failed_autodebit_count > 0",
-    "Strong Liquidity Buffer": "liquidity_ratio > 2.0e0",
-    "Healthy Savings": "savings_balance > 3000",
-    "Low Credit Utilization": "credit_utilization_ratio < 0.3e0",
-}
+_RULES_SQL = (  # name, impact, rule, in declared order
+    ("High Financial Stress", 30, "unified_stress_index > 0.5e0"),
+    ("Gambling Activity", 50, "gambling_ratio > 0.05e0"),
+    ("Delayed Salary Crunch", 25, "delayed_liquidity_crunch > 1.0e0"),
+    ("Overspending (Deficit)", 20, "total_spend > monthly_income"),
+    ("Missed Auto-Debits", 40, "failed_autodebit_count > 0"),
+    ("Strong Liquidity Buffer", -40, "liquidity_ratio > 2.0e0"),
+    ("Healthy Savings", -20, "savings_balance > 3000"),
+    ("Low Credit Utilization", -15, "credit_utilization_ratio < 0.3e0"),
+)
 _FIRED = " UNION ALL ".join(
-    f"SELECT statement_id, '{name}' AS factor, {impact} AS impact, {i} AS ord FROM s WHERE COALESCE({_RULES_SQL[name]}, FALSE)"
-    for i, (name, impact, _) in enumerate(P.FACTORS)
+    f"SELECT statement_id, '{name}' AS factor, {impact} AS impact, {i} AS ord FROM s WHERE COALESCE({rule}, FALSE)"
+    for i, (name, impact, rule) in enumerate(_RULES_SQL)
 )
 _FACTORS = f"""{_SCORED}, fired AS ({_FIRED}),
 ranked AS (SELECT statement_id, factor, impact,
@@ -112,24 +117,24 @@ def q_risk_factors(spark, sf_dir):
     )
 
 
-_VERDICT = f"""CASE WHEN final_probability > 0.5e0 THEN '{P.VERDICT_HIGH}'
-  WHEN EXISTS (SELECT 1 FROM fired f WHERE f.statement_id=s.statement_id AND f.impact > 0) THEN '{P.VERDICT_WATCH}'
-  ELSE '{P.VERDICT_HEALTHY}' END"""
+_VERDICT = f"""CASE WHEN final_probability > 0.5e0 THEN 'High Risk Detected'
+  WHEN EXISTS (SELECT 1 FROM fired f WHERE f.statement_id=s.statement_id AND f.impact > 0) THEN 'Watchlist: Risk is low, but issues detected.'
+  ELSE 'Healthy Profile: User is financially stable.' END"""
 
 
 @query(
     "verdict",
-    f"{_FACTORS} SELECT statement_id, final_probability, {_chain('final_probability', P.TIERS, P.TIER_TOP)} AS risk_tier, "
+    f"{_FACTORS} SELECT statement_id, final_probability, {_tier('final_probability')} AS risk_tier, "
     f"{_VERDICT} AS verdict FROM s",
 )
 def q_verdict(spark, sf_dir):
     return scored(spark, sf_dir).select("statement_id", "final_probability", "risk_tier", "verdict")
 
 
-_ACTIONS_SQL = " UNION ALL ".join(
-    f"SELECT statement_id, {i} AS ord, '{text}' AS action FROM fired WHERE factor='{name}'"
-    for i, (name, text) in enumerate(P.ACTIONS)
-)
+_ACTIONS_SQL = """SELECT statement_id, 0 AS ord, 'Urgent: Gambling is driving risk. Block merchant codes.' AS action FROM fired WHERE factor='Gambling Activity'
+UNION ALL SELECT statement_id, 1, 'Urgent: Immediate funds needed to prevent delinquency.' FROM fired WHERE factor='Missed Auto-Debits'
+UNION ALL SELECT statement_id, 2, 'Action: Salary is delayed. Suggest temporary overdraft protection.' FROM fired WHERE factor='Delayed Salary Crunch'
+UNION ALL SELECT statement_id, 3, 'Advice: Reduce discretionary spend to close monthly deficit.' FROM fired WHERE factor='Overspending (Deficit)'"""
 
 
 @query(
@@ -147,19 +152,17 @@ def q_actions(spark, sf_dir):
 def _scenario_sql() -> str:
     cols = ["monthly_income", "total_spend", "liquidity_ratio", "unified_stress_index", "stress_momentum_score",
             "behavioral_shock_index", "gambling_spend", "salary_delay_days", "failed_autodebit_count", "savings_balance"]
-    rows = ", ".join(
-        "('" + name + "', " + ", ".join(
-            (f"{float(v)!r}e0" if "e" not in repr(float(v)) else repr(float(v))) if isinstance(v, float) else str(v)
-            for v in (vals[c] for c in cols)
-        ) + ", 0.3e0)"
-        for name, vals in P.SCENARIOS
+    rows = (
+        "('Safe', 8000e0, 3000e0, 4.0e0, 0.1e0, -0.5e0, 0.0e0, 0e0, 0, 0, 15000e0, 0.3e0), "
+        "('Risky', 5000e0, 4900e0, 1.1e0, 0.65e0, 0.4e0, 0.5e0, 400e0, 4, 2, 800e0, 0.3e0), "
+        "('Crisis', 4000e0, 6000e0, 0.6e0, 0.95e0, 0.9e0, 0.9e0, 2500e0, 20, 6, 0e0, 0.3e0)"
     )
     scen = (
         f"scen_raw AS (SELECT * FROM (VALUES {rows}) t(profile, {', '.join(cols)}, credit_utilization_ratio)), "
         f"scen AS (SELECT *, {S.V2['gambling_ratio']} AS gambling_ratio, {_FINAL} AS final_probability FROM scen_raw)"
     )
     return (
-        f"{_SCORED}, {scen} SELECT profile, final_probability, {_chain('final_probability', P.TIERS, P.TIER_TOP)} AS risk_tier, "
+        f"{_SCORED}, {scen} SELECT profile, final_probability, {_tier('final_probability')} AS risk_tier, "
         "(SELECT COUNT(*) FROM s WHERE s.final_probability > scen.final_probability) AS n_riskier FROM scen"
     )
 
@@ -184,13 +187,13 @@ def _stream_sql() -> str:
     from stressframe.plans.q_features import _T2_SELECT, _T2_SQL
 
     final = _FINAL
-    rules = " OR ".join(f"COALESCE({r}, FALSE)" for name, r in _RULES_SQL.items() if dict((n, i) for n, i, _ in P.FACTORS)[name] > 0)
+    rules = " OR ".join(f"COALESCE({r}, FALSE)" for _, impact, r in _RULES_SQL if impact > 0)
     return (
         f"{_T2_SQL}, t AS (SELECT {_T2_SELECT} FROM feat), "
         f"s AS (SELECT *, {final} AS final_probability FROM t) "
-        f"SELECT statement_id, final_probability, {_chain('final_probability', P.TIERS, P.TIER_TOP)} AS risk_tier, "
-        f"CASE WHEN final_probability > 0.5e0 THEN '{P.VERDICT_HIGH}' WHEN {rules} THEN '{P.VERDICT_WATCH}' "
-        f"ELSE '{P.VERDICT_HEALTHY}' END AS verdict FROM s"
+        f"SELECT statement_id, final_probability, {_tier('final_probability')} AS risk_tier, "
+        f"CASE WHEN final_probability > 0.5e0 THEN 'High Risk Detected' WHEN {rules} THEN 'Watchlist: Risk is low, but issues detected.' "
+        f"ELSE 'Healthy Profile: User is financially stable.' END AS verdict FROM s"
     )
 
 

@@ -52,6 +52,100 @@ def q_class_ratio(spark, sf_dir):
     return P.class_ratio(risk_customer(spark, sf_dir), TARGET_V1)
 
 
+def with_gaps(df: DataFrame) -> DataFrame:
+    """Customers with NULL, NaN and infinite cells put in by a rule on the key, so that
+    the rules for missing values have work at every size."""
+    k = F.col("customer_id")
+    gap = lambda c, n: F.when(k % n != 0, F.col(c)).alias(c)
+    odd = lambda c, n: (
+        F.when(k % n == 1, F.lit(float("nan"))).when(k % n == 2, F.lit(float("inf"))).when(k % n == 3, F.lit(float("-inf")))
+        .when(k % n != 4, F.col(c)).alias(c)
+    )
+    new = {"credit_score": gap("credit_score", 7), "employment_type": gap("employment_type", 11), "missed_payments_last_6m": gap("missed_payments_last_6m", 13),
+           "emi_to_income_ratio": odd("emi_to_income_ratio", 17), "savings_decline_pct": odd("savings_decline_pct", 19)}
+    return df.select(*[new.get(c, F.col(c)) for c in df.columns])
+
+
+def _gap_sql() -> str:
+    def odd(c, n):
+        return (f"CASE WHEN customer_id % {n} = 1 THEN CAST('NaN' AS DOUBLE) WHEN customer_id % {n} = 2 THEN CAST('Infinity' AS DOUBLE) "
+                f"WHEN customer_id % {n} = 3 THEN CAST('-Infinity' AS DOUBLE) WHEN customer_id % {n} <> 4 THEN {c} END AS {c}")
+
+    def gap(c, n):
+        return f"CASE WHEN customer_id % {n} <> 0 THEN {c} END AS {c}"
+
+    new = [gap("credit_score", 7), gap("employment_type", 11), gap("missed_payments_last_6m", 13), odd("emi_to_income_ratio", 17), odd("savings_decline_pct", 19)]
+    return f"{W1}, gaps AS (SELECT * REPLACE ({', '.join(new)}) FROM risk_customer)"
+
+
+@query("row_count", f"{W1} SELECT COUNT(*) AS n_rows, CAST(18 AS INT) AS n_columns FROM risk_customer")
+def q_row_count(spark, sf_dir):
+    """Rows and columns of the customer table (AGG-1)."""
+    return P.row_count(risk_customer(spark, sf_dir))
+
+
+@query(
+    "null_profile_nonzero",
+    _gap_sql() + " SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{f.name}' AS column, COUNT(*) FILTER (WHERE {f.name} IS NULL"
+        + (f" OR isnan({f.name})" if isinstance(f.dataType, T.DoubleType) else "")
+        + ") AS null_count FROM gaps"
+        for f in V1_SCHEMA.fields
+    ) + ") WHERE null_count > 0",
+)
+def q_null_profile_nonzero(spark, sf_dir):
+    """Columns with missing cells only, on customers with gaps (AGG-5, FLT-8)."""
+    return P.null_profile(with_gaps(risk_customer(spark, sf_dir)))
+
+
+_GAPPED = ("credit_score", "emi_to_income_ratio", "savings_decline_pct", "missed_payments_last_6m")
+
+
+@query(
+    "range_profile_gaps",
+    _gap_sql() + " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS column, MIN(CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END) AS min, "
+        f"MAX(CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END) AS max, "
+        f"COUNT(*) FILTER (WHERE {c} IS NULL OR isnan(CAST({c} AS DOUBLE))) AS nan_count, "
+        f"COUNT(*) FILTER (WHERE isinf(CAST({c} AS DOUBLE))) AS inf_count FROM gaps"
+        for c in _GAPPED
+    ),
+)
+def q_range_profile_gaps(spark, sf_dir):
+    """Ranges, missing and infinite counts on customers with gaps (AGG-6)."""
+    return P.range_profile(with_gaps(risk_customer(spark, sf_dir)), list(_GAPPED))
+
+
+@query(
+    "fill_non_finite_gaps",
+    _gap_sql() + " SELECT customer_id, COALESCE(credit_score, 0) AS credit_score, COALESCE(missed_payments_last_6m, 0) AS missed_payments_last_6m, "
+    + ", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN 0.0e0 ELSE {c} END AS {c}" for c in ("emi_to_income_ratio", "savings_decline_pct"))
+    + " FROM gaps",
+)
+def q_fill_non_finite_gaps(spark, sf_dir):
+    """NULL, NaN and infinite cells to 0 on customers with gaps (ENC-4, SCL-12..14)."""
+    return fill_non_finite(with_gaps(risk_customer(spark, sf_dir)).select("customer_id", *_GAPPED), 0.0, list(_GAPPED))
+
+
+_IMPUTED = ("credit_score", "missed_payments_last_6m")
+
+
+@query(
+    "impute_scale_gaps",
+    _gap_sql() + ", " + ", ".join(
+        f"m{i} AS (SELECT MEDIAN(CAST({c} AS DOUBLE)) AS m FROM gaps), f{i} AS (SELECT customer_id, COALESCE(CAST({c} AS DOUBLE), (SELECT m FROM m{i})) AS v FROM gaps)"
+        for i, c in enumerate(_IMPUTED)
+    )
+    + " SELECT a.customer_id, ROUND((a.v - (SELECT AVG(v) FROM f0)) / (SELECT STDDEV_POP(v) FROM f0), 6) AS credit_score, "
+    "ROUND((b.v - (SELECT AVG(v) FROM f1)) / (SELECT STDDEV_POP(v) FROM f1), 6) AS missed_payments_last_6m "
+    "FROM f0 a JOIN f1 b ON a.customer_id = b.customer_id",
+)
+def q_impute_scale_gaps(spark, sf_dir):
+    """Median imputation and scaling where a seventh of the scores is missing (AGG-17, ENC-5)."""
+    df = with_gaps(risk_customer(spark, sf_dir)).select("customer_id", *_IMPUTED)
+    return round_doubles(ImputeScale(inputCols=list(_IMPUTED)).fit(df).transform(df))
+
+
 def _null_sql(f: T.StructField) -> str:
     miss = f"{f.name} IS NULL" + (f" OR isnan({f.name})" if isinstance(f.dataType, T.DoubleType) else "")
     return f"SELECT '{f.name}' AS column, COUNT(*) FILTER (WHERE {miss}) AS null_count FROM risk_customer"
