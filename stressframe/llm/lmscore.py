@@ -123,7 +123,8 @@ def cross_entropy_difference(
     ``target_ids``: ids (first column) of the documents the target model learns from."""
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("_good")).where("_good IS NOT NULL").distinct()
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    marked = own.join(ids, F.col("_id") == F.col("_good"), "left").select("_text", F.col("_good").isNotNull().alias("_target"))
+    # one plan at every size: a small id table would be broadcast, a large one shuffled
+    marked = own.join(ids.hint("merge"), F.col("_id") == F.col("_good"), "left").select("_text", F.col("_good").isNotNull().alias("_target"))
     counts = count_tables(marked, "_text", "_target", word_bits, pair_bits)
     total_all, total_good = counts[0, : 1 << word_bits].sum(), counts[1, : 1 << word_bits].sum()
     matched = total_good / total_all if total_good else 1.0
