@@ -32,7 +32,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op2_repeated_bytes")
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, h, (length(h) // 2)::BIGINT AS n FROM d),
+w AS (SELECT doc_id, pos, substr(h, 2 * pos + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS pos FROM g)),
+f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY s ORDER BY doc_id, pos) AS k FROM w),
+a AS (SELECT doc_id, pos, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100 THEN 0 ELSE 1 END AS new FROM f WHERE k > 1),
+i AS (SELECT doc_id, pos, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM a),
+r AS (SELECT doc_id, run, min(pos) AS lo, max(pos) + 100 AS hi FROM i GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS start, lo AS stop FROM r
+      UNION ALL SELECT g.doc_id, coalesce(max(r.hi), 0), any_value(g.n) FROM g LEFT JOIN r ON r.doc_id = g.doc_id GROUP BY g.doc_id),
+t AS (SELECT k.doc_id, string_agg(substr(g.h, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start) AS kept FROM k JOIN g ON g.doc_id = k.doc_id GROUP BY k.doc_id)
+SELECT g.doc_id, g.n AS n_bytes, (g.n - length(t.kept) // 2)::BIGINT AS n_removed,
+       (SELECT count(*) FROM r WHERE r.doc_id = g.doc_id)::BIGINT AS n_spans, sha256(unhex(t.kept)) AS kept_sha256
+FROM g JOIN t ON t.doc_id = g.doc_id
+"""
+
+
+@query("op2_repeated_bytes", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes covered by a 100-byte string that starts earlier go."""
     from pyspark.sql import functions as F
@@ -66,7 +83,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.fingerprint_next(table(spark, sf_dir, "documents"))
 
 
-@query("op7_jaccard_join")
+OP7_SQL = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')) END) AS t FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n n1 ON n1.doc_id = x JOIN n n2 ON n2.doc_id = y WHERE 100 * c >= 85 * (n1.n + n2.n - c)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(m.low, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN m ON m.a = w.doc_id
+"""
+
+
+@query("op7_jaccard_join", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of every whole text."""
     return jaccard.link_near(table(spark, sf_dir, "documents")).drop("class_id")
