@@ -56,6 +56,31 @@ def test_jaccard_join(spark, kw):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_components(rows)
 
 
+@pytest.mark.parametrize("kw", [{}, {"block": 8, "hot_least": 1, "hot_most": 400}])
+def test_jaccard_family_near_the_threshold(spark, kw):
+    """Copies of one text with some edits each: few reach the threshold with the first copy."""
+    import random
+
+    from tests.llm.data import WORDS
+
+    rng = random.Random(12)
+    base = [rng.choice(WORDS) for _ in range(90)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randrange(0, 7)):
+            at = rng.randrange(len(words))
+            if rng.random() < 0.5:
+                words[at] = rng.choice(WORDS) + rng.choice("abc")
+            else:
+                del words[at]
+        rows.append((1000 - i, " ".join(words)))
+    got = jaccard.link_near(frame(spark, rows), **kw).collect()
+    want = brute.near_components(rows)
+    assert len({c for _, c in want.values()}) > 3
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_jaccard_chain_and_special(spark):
     words = [f"v{k}" for k in range(100)]
     rows = [(10 + k, " ".join(words[k * 2 :] + [f"z{k}{j}" for j in range(k * 2)])) for k in range(6)]
