@@ -122,11 +122,15 @@ def find_spans(docs: DataFrame, window: int, inner: int, buckets: int) -> DataFr
     return docs.mapInArrow(run, SCHEMA)
 
 
-def _by_bucket(batches):
-    """(bucket, [(kind, packed spans)]) of a partition sorted by bucket."""
+def _by_bucket(batches, through: tuple[int, ...]):
+    """(bucket, [(kind, packed spans)]) of a partition sorted by bucket; rows of the kinds
+    ``through`` come alone, at once."""
     now, rows = None, []
     for batch in batches:
         for kind, bucket, raw in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            if kind in through:
+                yield None, [(kind, raw)]
+                continue
             if bucket != now and rows:
                 yield now, rows
                 rows = []
@@ -142,7 +146,7 @@ def meet_equal(spans: DataFrame, buckets: int, many: int) -> DataFrame:
     part = 2 * many // buckets + 64
 
     def run(batches):
-        for _, rows in _by_bucket(batches):
+        for _, rows in _by_bucket(batches, (REPEAT,)):
             for kind, raw in rows:
                 if kind == REPEAT:
                     yield pa.RecordBatch.from_arrays([pa.array([REPEAT], pa.int32()), pa.array([0], pa.int32()), pa.array([raw], pa.binary())], names=NAMES)
@@ -176,7 +180,7 @@ def meet_keys(spans: DataFrame, many: int) -> DataFrame:
         )
 
     def keyed(batches):
-        for _, rows in _by_bucket(batches):
+        for _, rows in _by_bucket(batches, (REPEAT, HOT)):
             held, marks = [], []
             for kind, raw in rows:
                 if kind in (REPEAT, HOT):
