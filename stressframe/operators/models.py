@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import random
 from concurrent.futures import ThreadPoolExecutor
@@ -131,6 +132,11 @@ def prepare(
     return Prepared(data, list(features), model)
 
 
+def ratio_weight(neg: int, pos: int) -> float:
+    """Weight of positives that balances the classes; 1 without positives."""
+    return neg / pos if pos else 1.0
+
+
 def class_weights(df: DataFrame, label: str, scheme: str | float) -> tuple[float, float]:
     """(w0, w1): 'balanced' = n / (2 n_c); 'ratio' = (1, neg/pos); a number = (1, number)."""
     if isinstance(scheme, (int, float)):
@@ -141,7 +147,7 @@ def class_weights(df: DataFrame, label: str, scheme: str | float) -> tuple[float
         n = neg + pos
         return (n / (2.0 * neg) if neg else 1.0), (n / (2.0 * pos) if pos else 1.0)
     if scheme == "ratio":
-        return 1.0, (neg / pos if pos else 1.0)
+        return 1.0, ratio_weight(neg, pos)
     raise ValueError(scheme)
 
 
@@ -256,28 +262,36 @@ def out_of_fold(
 ) -> OOFResult:
     """k x m fits; returns one OOF row per input row with ``prob_<name>``
     columns (MOD-11, SET-1). ``learners`` maps output name -> preset kind."""
+    from stressframe.session import cut_lineage
+
     data = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    jobs = [(f, name, kind) for f in range(k) for name, kind in learners.items()]
+    try:
+        # one pass serves the class weights of all fits
+        counts = {(r[fold_col], r[label]): r["count"] for r in data.groupBy(fold_col, label).count().collect()}
 
-    def run(job):
-        f, name, kind = job
-        train = data.where(F.col(fold_col) != f)
-        held = data.where(F.col(fold_col) == f) if early_stopping else None
-        return FoldFit(name, f, fit_one(train, kind, name, label, weighting, held))
+        def weight(f, kind):
+            scheme = weighting if weighting is not None else ("balanced" if PRESETS[kind].get("balanced") else PRESETS[kind].get("pos_weight"))
+            neg, pos = (sum(n for (g, y), n in counts.items() if g != f and y == c) for c in (0, 1))
+            return ratio_weight(neg, pos) if scheme == "ratio" else scheme
 
-    with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
-        fits = list(pool.map(run, jobs))
-    parts = []
-    for f in range(k):
-        scored = data.where(F.col(fold_col) == f)
-        for fit in fits:
-            if fit.fold == f:
-                scored = fit.model.transform(scored).withColumn(f"prob_{fit.name}", prob1(fit.name))
-        parts.append(scored.select(key, label, fold_col, *[f"prob_{n}" for n in learners]))
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    return OOFResult(oof, fits)
+        def run(job):
+            f, name, kind = job
+            held = data.where(F.col(fold_col) == f) if early_stopping else None
+            return FoldFit(name, f, fit_one(data.where(F.col(fold_col) != f), kind, name, label, weight(f, kind), held))
+
+        with ThreadPoolExecutor(max_workers=fit_concurrency(data, parallelism)) as pool:
+            fits = list(pool.map(run, [(f, name, kind) for f in range(k) for name, kind in learners.items()]))
+        parts = []
+        for f in range(k):
+            scored = data.where(F.col(fold_col) == f)
+            for fit in fits:
+                if fit.fold == f:
+                    scored = fit.model.transform(scored).withColumn(f"prob_{fit.name}", prob1(fit.name))
+            parts.append(scored.select(key, label, fold_col, *[f"prob_{n}" for n in learners]))
+        # small (one row per input row, a few doubles), but its lineage holds k x m model applications
+        return OOFResult(cut_lineage(functools.reduce(DataFrame.unionByName, parts)), fits)
+    finally:
+        data.unpersist()
 
 
 @dataclass
@@ -310,9 +324,7 @@ def stack(
     from stressframe.session import cut_lineage
 
     res = out_of_fold(prep.data, bases, label, key, fold_col, k, parallelism=parallelism)
-    # the OOF table is small (one row per input row, a few doubles) but its
-    # lineage holds k x m model applications: write it to the checkpoint folder
-    oof = cut_lineage(res.oof)
+    oof = res.oof
     cols = [f"prob_{n}" for n in bases]
     metas, coef_rows = [], []
     for f in range(k):
@@ -328,8 +340,6 @@ def stack(
     model = None
     if refit:
         model = _refit_stack(prep, bases, label, oof, cols, parallelism)
-    # everything downstream reads the checkpointed OOF table
-    prep.data.unpersist()
     return StackResult(cut_lineage(meta_oof), coefs, model)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,11 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at shared storage the cluster can reach"
             )
         conf = tempfile.mkdtemp(prefix="stressframe-ckpt-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)  # a folder of this process alone
         spark.conf.set(CHECKPOINT_CONF, conf)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
