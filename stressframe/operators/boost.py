@@ -30,7 +30,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_FIT_ROWS = 200_000
+MAX_FIT_ROWS = 50_000
 SEED = 42
 
 
@@ -80,12 +80,17 @@ class _Grower:
         self.p, (self.n, self.cols) = p, codes.shape
         self.bins = int(codes.max()) + 1 if codes.size else 1
         self.codes = codes
-        self.flat = codes.astype(np.int32) + np.arange(self.cols, dtype=np.int32) * self.bins
+        self.flat = codes.astype(np.int64) + np.arange(self.cols) * self.bins
 
     def _hist(self, rows, g, h):
-        at, size = self.flat[rows].ravel(), self.cols * self.bins
-        out = [np.bincount(at, np.repeat(v[rows], self.cols), size) for v in (g, h)] + [np.bincount(at, minlength=size)]
-        return np.stack(out).reshape(3, self.cols, self.bins)
+        """Sums of g, h and (where rows per child are limited) rows, by column and bin."""
+        size = self.cols * self.bins
+        at = self.flat.ravel() if len(rows) == self.n else self.flat[rows].ravel()
+        weights = [np.repeat(v[rows], self.cols) for v in (g, h)]
+        out = [np.bincount(at, w, size) for w in weights]
+        if self.p.min_rows > 1:
+            out.append(np.bincount(at, minlength=size))
+        return np.stack(out).reshape(len(out), self.cols, self.bins)
 
     def _strength(self, g):
         return np.sign(g) * np.maximum(np.abs(g) - self.p.l1, 0.0)
@@ -98,7 +103,8 @@ class _Grower:
         score = lambda s: self._strength(s[0]) ** 2 / (s[1] + p.l2 + 1e-12)
         gain = (score(left) + score(right) - score(total)) / 2
         low = np.minimum(left, right)
-        gain[(low[2] < p.min_rows) | (low[1] < p.min_weight) | ~use[:, None]] = -np.inf
+        bad = (low[1] < p.min_weight) | ~use[:, None]
+        gain[bad | (low[2] < p.min_rows) if p.min_rows > 1 else bad] = -np.inf
         k = int(gain.argmax())
         best = float(gain.flat[k])
         return (best, k // self.bins, k % self.bins) if best > max(p.gain, 1e-9) else None
