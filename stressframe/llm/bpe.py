@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 PIECES_AT_ONCE = 200_000  # pieces of one text held in memory
-MEMO_PIECES = 300_000  # pieces remembered with their ids in one task
+MEMO_PIECES = 500_000  # pieces remembered with their ids in one task
 _SEP = "\x00"
 
 
@@ -55,12 +55,13 @@ class ByteBpe:
         )
         self.split = regex.compile(pattern)
         back = {c: b for b, c in enumerate(byte_alphabet())}
-        self.token_bytes = {
-            i: bytes(back[c] for c in token) for token, i in model["vocab"].items() if all(c in back for c in token)
-        }
+        size = max(model["vocab"].values()) + 1
+        self.token_bytes: list[bytes | None] = [None] * size  # None: not made of bytes (special tokens)
+        for token, i in model["vocab"].items():
+            if all(c in back for c in token):
+                self.token_bytes[i] = bytes(back[c] for c in token)
+        self.decimal = [str(i) for i in range(size)]
         self.memo: dict[str, list[int]] = {}
-        self.decimal: dict[str, str] = {}  # a piece's ids as text, each after a space
-        self.raw: dict[str, bytes] = {}  # what a piece's ids decode to
 
     def _learn(self, pieces: set[str]) -> None:
         plain = [p for p in pieces if _SEP not in p]
@@ -88,31 +89,15 @@ class ByteBpe:
         while run := list(islice(found, PIECES_AT_ONCE)):
             yield run
 
-    def known_runs(self, text: str | None):
-        """Bounded runs of a text's pieces, all of them in the memo."""
+    def encode(self, text: str | None):
+        """Lists of ids, one list for each bounded run of pieces."""
         for run in self._runs(text or ""):
             if len(self.memo) > MEMO_PIECES:
-                for known in (self.memo, self.decimal, self.raw):
-                    known.clear()
+                self.memo.clear()
             if miss := set(run).difference(self.memo):
                 self._learn(miss)
-                for piece in miss:
-                    ids = self.memo[piece]
-                    self.decimal[piece] = "".join([f" {i}" for i in ids])
-                    self.raw[piece] = self.decode(ids)
-            yield run
-
-    def encode(self, text: str | None):
-        """Lists of ids, one list for each bounded run of pieces."""
-        for run in self.known_runs(text):
             yield list(chain.from_iterable(map(self.memo.__getitem__, run)))
 
-    def digest(self, run: list[str]) -> tuple[int, str, bytes]:
-        """Of a known run: number of ids, their decimal text with a space before each, and
-        the bytes they decode to."""
-        decimals = "".join(map(self.decimal.__getitem__, run))
-        return decimals.count(" "), decimals, b"".join(map(self.raw.__getitem__, run))
-
     def offsets(self, text: str | None) -> list[tuple[int, int, int]]:
         """(id, first character, last character + 1) of every token.
 
@@ -189,13 +174,13 @@ def round_trip(
             n, h_ids, h_raw, all_ids = [], [], [], []
             for text in batch.column(1):
                 count, a, b, own = 0, hashlib.sha256(), hashlib.sha256(), []
-                for run in bpe.known_runs(text.as_py()):
-                    found, decimals, raw = bpe.digest(run)
-                    a.update(decimals[0 if count else 1 :].encode())  # no space before the first id
-                    b.update(raw)
-                    count += found
-                    if with_ids:
-                        own.extend(chain.from_iterable(map(bpe.memo.__getitem__, run)))
+                for ids in bpe.encode(text.as_py()):
+                    if ids:
+                        a.update(((" " if count else "") + " ".join(map(bpe.decimal.__getitem__, ids))).encode())
+                        b.update(bpe.decode(ids))
+                        count += len(ids)
+                        if with_ids:
+                            own.extend(ids)
                 n.append(count)
                 h_ids.append(a.hexdigest())
                 h_raw.append(b.hexdigest())
