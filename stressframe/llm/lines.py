@@ -2,9 +2,10 @@
 
 Lines are exploded, normalised (white space stripped at both ends, A-Z lower-
 cased) and hashed to 128 bits; distinct documents are counted per hash with
-partial aggregation, so a line that a third of all documents share reaches the
-reducers as one row per task and document block.  Only hashes and positions are
-shuffled for the decision; the text moves once, to meet its dropped positions.
+partial aggregation; the few lines that hold a large share of all rows are
+broadcast (their number is bounded by that share), the others joined by hash.
+Only hashes and positions are shuffled for the decision; the text moves once, to
+meet its dropped positions.
 
 Results in special cases: null or empty text is one empty line and is kept; keys
 under ``min_chars`` code points are never dropped; repeated rows (same id and
@@ -22,6 +23,7 @@ from stressframe.session import cut_lineage
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
 LAST_ID = (1 << 63) - 1
+HOT_KEYS = 1000
 
 
 def line_key(line: Column) -> Column:
@@ -49,20 +51,20 @@ def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, m
         .select("_d", "_t", "_p", F.xxhash64("_k").alias("_a"), F.xxhash64(F.lit(min_chars), "_k").alias("_b"))
     )
     lines = cut_lineage(lines)
-    frequent = (
+    frequent = cut_lineage(
         lines.select("_a", "_b", "_d")
         .distinct()
         .groupBy("_a", "_b")
         .agg(F.count("*").alias("_n"), F.min("_d").alias("_first"))
         .where(F.col("_n") > max_docs)
-        .select("_a", "_b", "_first")
-    )
-    return (
-        lines.join(frequent, ["_a", "_b"])
-        .where(F.col("_d") > F.col("_first"))
-        .groupBy("_d", "_t")
-        .agg(F.collect_set("_p").alias("_pos"))
     )
+    # fewer than HOT_KEYS keys can hold more than this share of the rows each: they are
+    # broadcast, so that no key gathers more than that share in one task of the other join
+    share = lines.count() / HOT_KEYS
+    hot = F.broadcast(frequent.where(F.col("_n") > share).select("_a", "_b", "_first"))
+    cold = frequent.where(F.col("_n") <= share).select("_a", "_b", "_first")
+    found = lines.join(hot, ["_a", "_b"]).unionAll(lines.join(hot.drop("_first"), ["_a", "_b"], "left_anti").join(cold, ["_a", "_b"]))
+    return found.where(F.col("_d") > F.col("_first")).groupBy("_d", "_t").agg(F.collect_set("_p").alias("_pos"))
 
 
 def dedup_lines(
