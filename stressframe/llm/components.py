@@ -27,16 +27,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return near.unionAll(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
 
 
-def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
+def components(links: DataFrame, parts: int | None = None, max_rounds: int = 64) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node it reaches.
 
+    ``parts``: into how many files a round's links go (few for a small graph).
     Only grouped minima and joins on nodes; a round's links are written to the
     checkpoint folder.  The number of rounds grows with the logarithm of the
     longest path; two counts a round reach the driver."""
-    edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    def kept(df: DataFrame) -> DataFrame:
+        return cut_lineage(df.distinct().coalesce(parts) if parts else df.distinct())
+
+    edges = kept(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     before = None
     for _ in range(max_rounds):
-        edges = cut_lineage(_small_star(_large_star(edges)).where("a <> b").distinct())
+        edges = kept(_small_star(_large_star(edges)).where("a <> b"))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
