@@ -22,7 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 
 PIECES_AT_ONCE = 200_000  # pieces of one text held in memory
-MEMO_PIECES = 500_000  # pieces remembered with their ids in one task
+ROWS_AT_ONCE = 256  # rows whose ids wait in one output batch
+MEMO_PIECES = 300_000  # pieces remembered with their ids in one task
 _SEP = "\x00"
 
 
@@ -120,6 +121,13 @@ class ByteBpe:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
 
+def small_batches(batches):
+    """The same rows, at most ``ROWS_AT_ONCE`` at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def encode(df: DataFrame, json_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ids and character spans of its tokens."""
 
@@ -170,7 +178,7 @@ def round_trip(
 
     def code(batches):
         bpe = ByteBpe(json_path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches):
             n, h_ids, h_raw, all_ids = [], [], [], []
             for text in batch.column(1):
                 count, a, b, own = 0, hashlib.sha256(), hashlib.sha256(), []
