@@ -81,6 +81,20 @@ def test_jaccard_family_near_the_threshold(spark, kw):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+@pytest.mark.parametrize("kw", [{}, {"hot_least": 1, "hot_most": 300}])
+def test_jaccard_cut_copies(spark, kw):
+    """Texts whose only near copy is the same text with its end cut off, just above the threshold."""
+    rows = []
+    for k in range(160):
+        n, left = [(100, 86), (100, 88), (200, 171), (300, 256)][k % 4]
+        words = [f"p{k}w{j}" for j in range(n + 3)]
+        pair = [" ".join(words), " ".join(words[: left + 3])]
+        rows += [(2 * k + j, t) for j, t in enumerate(pair[:: 1 if k % 3 else -1])]
+    got = jaccard.link_near(frame(spark, rows), **kw).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_components(rows)
+
+
 def test_jaccard_chain_and_special(spark):
     words = [f"v{k}" for k in range(100)]
     rows = [(10 + k, " ".join(words[k * 2 :] + [f"z{k}{j}" for j in range(k * 2)])) for k in range(6)]
