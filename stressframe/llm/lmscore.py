@@ -1,31 +1,41 @@
 """Cross-entropy difference scores from two matched n-gram models (operator 4).
 
-Both models are bigram models over one shared vocabulary: every word, A-Z lower-
-cased, is one of ``2**word_bits`` classes by hash, and bigrams of classes are
-counted in ``2**pair_bits`` cells by hash, so the model's size is fixed by two
-parameters, not by the corpus.  The target model counts the documents labelled
-good, the background model counts *all* documents; background counts are scaled
-to the target's total, so both models smooth with the same weight of evidence.
-A document's score is the mean over its words of (target loss - background
-loss), in nats: the lower, the more it is like the target.
-
-Each task counts its documents into arrays and passes them on in pieces, keyed
-by piece; pieces are summed as a stream.  The summed tables (fixed size) go to
-the scoring tasks.  Special cases: null or empty text has 0 words and losses and
-score 0.0; without target documents the target model is the background model
-(score 0.0); an empty table gives an empty result; texts are read whole.
+Both models are bigram models over one vocabulary, the words of all documents (A-Z
+lower-cased), told apart by 64-bit hashes; so the models grow with the corpus. The
+target model counts the documents labelled good, the background model counts *all*
+documents; background counts are scaled to the target's total, so both models
+smooth with the same weight of evidence. A document's score is the mean over its
+words of (target loss - background loss), in nats: the lower, the more it is like
+the target.
+
+Words are counted with partial sums in the tasks. Then each document's distinct
+(word, word before) meet those of all documents in the partition of the word, where
+sums over the word and over the pair are its counts; a word's own count is also that
+of its context, so one exchange serves all. Words with more than ``1 / hot`` of all
+occurrences (fewer than ``hot``) are spread by the word before, their counts
+broadcast. A pair has at most one row a document. Losses are summed per document.
+
+With ``word_bits`` and ``pair_bits`` the models are tables of fixed size instead,
+over ``2**word_bits`` classes of words and ``2**pair_bits`` cells of bigrams.
+
+Special cases: null or empty text has 0 words and losses and score 0.0; without
+target documents the target model is the background model (score 0.0); rows with
+equal id and text share a score; an empty table gives an empty result; texts are
+read whole.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stressframe.llm.textvec import Roller, class_table, lower_table, mix, text_slices, word_spans
+from stressframe.session import cut_lineage
 
 PIECE = 4096
+CHUNK_WORDS = 1_000_000
 NOT_SPACE = ~class_table([(0x20, 0x20), (0x09, 0x0D)])
 
 
@@ -108,20 +118,142 @@ class PairModel:
         return -np.log(np.minimum(p, 1.0))
 
 
+def word_hashes(data, offsets, roller: Roller, lower):
+    """(row, word hash, hash of the word before it or 0 at a document's start)."""
+    data = lower[data]
+    start, end, row = word_spans(data, offsets, NOT_SPACE)
+    if not len(start):
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    roller.load(data)
+    word = roller.ranges(start, end).view(np.int64)
+    before = np.zeros_like(word)
+    before[1:] = np.where(row[1:] == row[:-1], word[:-1], 0)
+    return row, word, before
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n, good) of documents (text, target): occurrences in all and in target documents.
+    Word 0 counts the documents with words."""
+
+    def run(batches):
+        roller, lower = Roller(), lower_table()
+        held, size = [], 0
+
+        def flush():
+            word, mark = (np.concatenate(x) for x in zip(*held))
+            word, place = np.unique(word, return_inverse=True)
+            n, good = np.bincount(place), np.bincount(place, mark).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(word), pa.array(n), pa.array(good)], names=["word", "n", "good"])
+
+        for batch in batches:
+            wanted = np.array([bool(x) for x in batch.column(1).to_pylist()], bool)
+            for first_row, data, offsets in text_slices(batch.column(0)):
+                row, word, before = word_hashes(data, offsets, roller, lower)
+                mark = wanted[first_row + row]
+                held.append((np.append(word, before[before == 0]), np.append(mark, mark[before == 0])))
+                size += len(word)
+                if size >= CHUNK_WORDS:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return docs.mapInArrow(run, "word long, n long, good long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+
+
+def document_pairs(docs: DataFrame, kind: str) -> DataFrame:
+    """(id, h, target, word, before, n, ends) of documents (id, h, target, text): each document's
+    distinct pairs, how often they occur, and how often as the document's end."""
+
+    def run(batches):
+        roller, lower = Roller(), lower_table()
+        for batch in batches:
+            for first_row, data, offsets in text_slices(batch.column(3)):
+                row, word, before = word_hashes(data, offsets, roller, lower)
+                if not len(row):
+                    continue
+                last = np.append(row[1:] != row[:-1], True)
+                order = np.lexsort((before, word, row))
+                row, word, before, last = row[order], word[order], before[order], last[order]
+                new = np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1]) | (before[1:] != before[:-1]))
+                at = np.flatnonzero(new)
+                take = pa.array(first_row + row[at])
+                n, ends = np.diff(np.append(at, len(row))), np.add.reduceat(last.astype(np.int64), at)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).take(take) for k in range(3)), *(pa.array(x) for x in (word[at], before[at], n, ends))],
+                    names=["id", "h", "target", "word", "before", "n", "ends"],
+                )
+
+    return docs.mapInArrow(run, f"id {kind}, h long, target boolean, word long, before long, n long, ends long")
+
+
+def exact_scores(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, alpha: float, weight: float, hot: int) -> DataFrame:
+    """``cross_entropy_difference`` over real words; ``ids``: one column ``_good``."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    # one plan at every size: a small id table would be broadcast, a large one shuffled
+    marked = own.join(ids.hint("merge"), F.col("id") == F.col("_good"), "left").withColumn("target", F.col("_good").isNotNull())
+    counted = cut_lineage(word_counts(marked.select("text", "target")))
+    real = F.col("word") != 0
+    total = counted.agg(
+        F.count_if(real).alias("words"),
+        *(F.coalesce(F.sum(F.when(real == r, F.col(c))), F.lit(0)).alias(k) for k, r, c in (
+            ("all", True, "n"), ("good", True, "good"), ("starts", False, "n"), ("good_starts", False, "good"))),
+    ).first()
+    matched = total["good"] / total["all"] if total["good"] else 1.0
+    often = counted.where(real & (F.col("n") * hot > total["all"])).select("word", F.col("n").alias("hot_n"), F.col("good").alias("hot_good"))
+    pairs = document_pairs(marked.select("id", "h", "target", "text"), kind).join(F.broadcast(often), "word", "left")
+    pairs = pairs.withColumn("salt", F.when(F.col("hot_n").isNotNull(), F.col("before")).otherwise(0))
+    by_word, by_pair = Window.partitionBy("word", "salt"), Window.partitionBy("word", "salt", "before")
+    good = F.when(F.col("target"), F.col("n")).otherwise(0)
+    pairs = pairs.repartition("word", "salt").select(
+        "id", "h", "n", "ends",
+        F.sum("n").over(by_pair).alias("pair_n"), F.sum(good).over(by_pair).alias("pair_good"),
+        F.coalesce("hot_n", F.sum("n").over(by_word)).alias("word_n"), F.coalesce("hot_good", F.sum(good).over(by_word)).alias("word_good"),
+    )
+
+    def model(kind_: str, scale: float, words: int):
+        pair, word = (F.col(f"{c}_{kind_}") * F.lit(float(scale)) for c in ("pair", "word"))
+        first = (word + alpha) / (words * scale + alpha * max(1, total["words"]))
+        return F.sum((F.col("n") - F.col("ends")) * F.log(word + weight) - F.col("n") * F.log(pair + weight * first))
+
+    if total["good"]:
+        target, starts = model("good", 1.0, total["good"]), float(total["good_starts"])
+    else:
+        target, starts = model("n", 1.0, total["all"]), float(total["starts"])
+    background = model("n", matched, total["all"])
+    # rows with equal id and text add up, each with one end
+    sums = pairs.groupBy("id", "h").agg(target.alias("t"), background.alias("b"), F.sum("n").alias("n"), F.sum("ends").alias("rows"))
+    start_t, start_b = (float(np.log(x + weight)) for x in (starts, total["starts"] * matched))
+    sums = sums.select(
+        F.col("id").alias("_id"), F.col("h").alias("_h"), (F.col("n") / F.col("rows")).cast("long").alias("n_words"),
+        ((F.col("t") + F.col("rows") * start_t) / F.col("n")).alias("target_loss"),
+        ((F.col("b") + F.col("rows") * start_b) / F.col("n")).alias("background_loss"),
+    )
+    scored = own.select("id", "h").join(sums, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
+    zero = {"n_words": 0, "target_loss": 0.0, "background_loss": 0.0}
+    scored = scored.fillna(zero, list(zero)).withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    return scored.select(F.col("id").alias(id_col), "n_words", "target_loss", "background_loss", "score")
+
+
 def cross_entropy_difference(
     docs: DataFrame,
     target_ids: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    word_bits: int = 16,
-    pair_bits: int = 18,
+    word_bits: int | None = None,
+    pair_bits: int | None = None,
     alpha: float = 0.5,
     weight: float = 64.0,
+    hot: int = 2000,
 ) -> DataFrame:
     """One row per document: n_words, target_loss, background_loss, score.
 
     ``target_ids``: ids (first column) of the documents the target model learns from."""
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("_good")).where("_good IS NOT NULL").distinct()
+    if word_bits is None or pair_bits is None:
+        return exact_scores(docs, ids, id_col, text_col, alpha, weight, hot)
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # one plan at every size: a small id table would be broadcast, a large one shuffled
     marked = own.join(ids.hint("merge"), F.col("_id") == F.col("_good"), "left").select("_text", F.col("_good").isNotNull().alias("_target"))

@@ -135,6 +135,42 @@ def test_lm_scores(spark):
         assert r.target_loss == pytest.approx(one) and r.background_loss == pytest.approx(two) and r.score == pytest.approx(one - two)
 
 
+@pytest.mark.parametrize("hot", [2000, 40])
+def test_lm_scores_of_real_words(spark, hot):
+    """Against counts of real words and pairs; more distinct pairs than the former 2**18 cells."""
+    rows = [*corpus(11, 30), (5000, " ".join(f"u{k}" for k in range(300_000)))]
+    good = {i for i, _ in rows[::3]}
+    ids = spark.createDataFrame([(i,) for i in good], "doc_id long")
+    got = {r.doc_id: r for r in lmscore.cross_entropy_difference(frame(spark, rows, clash=True), ids, **({} if hot == 2000 else {"hot": hot})).collect()}
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(brute.UP)) for i, t in rows}
+    every = len({w for x in words.values() for w in x})
+
+    def model(ids_, scale):
+        from collections import Counter
+
+        one, two = Counter(), Counter()
+        for i in ids_:
+            one.update(words[i])
+            two.update(zip([None, *words[i]], words[i]))
+        total = sum(one.values())
+        one[None] = sum(bool(words[i]) for i in ids_)
+
+        def loss(b, w):
+            first = (one[w] * scale + 0.5) / (total * scale + 0.5 * every)
+            return -math.log((two[b, w] * scale + 64 * first) / (one[b] * scale + 64))
+
+        return loss, total
+
+    target, n_good = model(good, 1.0)
+    background, _ = model(words, n_good / model(words, 1.0)[1])
+    assert len(got) == len(rows)
+    for i, w in words.items():
+        one, two = (sum(f(*x) for x in zip([None, *w], w)) / max(1, len(w)) for f in (target, background))
+        r = got[i]
+        assert r.n_words == len(w)
+        assert r.target_loss == pytest.approx(one) and r.background_loss == pytest.approx(two) and r.score == pytest.approx(one - two)
+
+
 def test_lm_special(spark):
     ids = spark.createDataFrame([(10**6,)], "doc_id long")
     got = lmscore.cross_entropy_difference(frame(spark, [(1, "a b"), (1, "a b"), (2, None), (None, "")]), ids).collect()
