@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stressframe.llm import bpe, decontam, jaccard, licences, lines, lmscore, pages, phrases, quality, substring
+from stressframe.llm import bpe, crosstok, decontam, jaccard, licences, lines, lloyd, lmscore, multiindex, pages, phrases, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -142,3 +142,72 @@ def op10(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> Dat
 
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def _op11_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Complete rescans: the same codes as the active-entry rounds."""
+    fine = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+    steps = [
+        f"k AS (SELECT vec_id, label, embedding AS v FROM embeddings WHERE {fine})",
+        f"u AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i, len(v) // {parts} AS w FROM k)",
+        "c AS (SELECT vec_id, i // w AS p, i % w AS j, CAST(floor(256 * x::DOUBLE) AS BIGINT) AS x FROM u)",
+        f"f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT {entries})",
+        "b0 AS (SELECT p, e, j, x FROM c JOIN f USING (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        steps += [
+            f"d{r} AS (SELECT c.vec_id, c.p, b.e, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS d FROM c JOIN b{r} b ON b.p = c.p AND b.j = c.j GROUP BY ALL)",
+            f"a{r} AS (SELECT vec_id, p, e, d FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, p ORDER BY d, e) AS k FROM d{r}) WHERE k = 1)",
+        ]
+        if r < rounds:
+            steps += [
+                f"m{r} AS (SELECT c.p, a.e, c.j, sum(c.x)::BIGINT AS s, count(*) AS n FROM c JOIN a{r} a ON a.vec_id = c.vec_id AND a.p = c.p GROUP BY ALL)",
+                f"b{r + 1} AS (SELECT b.p, b.e, b.j, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, b.x) AS x"
+                f" FROM b{r} b LEFT JOIN m{r} m ON m.p = b.p AND m.e = b.e AND m.j = b.j)",
+            ]
+    steps += [
+        f"h AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM b{rounds})",
+        f"o AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id)",
+    ]
+    return "WITH " + ",\n".join(steps) + (
+        "\nSELECT o.vec_id, code, error, (sum(error) OVER (PARTITION BY k.label))::BIGINT AS label_error, codebooks_sha256"
+        " FROM o JOIN k ON k.vec_id = o.vec_id CROSS JOIN h"
+    )
+
+
+@query("op11_active_lloyd", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all finite vectors by active-entry Lloyd rounds."""
+    return lloyd.codes_with_errors(table(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE
+k AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM k a JOIN k b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+r(a, b) AS (SELECT x, y FROM l UNION SELECT r.a, l.y FROM r JOIN l ON r.b = l.x),
+m AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(m.low, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(m.low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON n.x = e.vec_id LEFT JOIN m ON m.a = e.vec_id
+"""
+
+
+@query("op12_multi_index", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors and their components."""
+    return multiindex.link_near(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str, byte_json: str | None = None, piece_model: str | None = None) -> DataFrame:
+    """Aligned tokens of every whole text under two tokenizers.  The paths are parameters."""
+    import public_tokenizers
+
+    a = byte_json or public_tokenizers.path("byte_bpe_50k.json")
+    b = piece_model or public_tokenizers.path("piece_bpe_32k.model")
+    return crosstok.align(table(spark, sf_dir, "documents"), a, b)
