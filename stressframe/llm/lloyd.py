@@ -157,13 +157,17 @@ def moved_books(books: np.ndarray, sums: np.ndarray):
 def first_books(vectors: DataFrame, id_col: str, vec_col: str, parts: int, entries: int, scale: int):
     """Codebooks from the ``entries`` smallest kept ids (and the kept length), or None."""
     fine = vectors.where(usable(F.col(vec_col))).select(F.col(id_col).alias("i"), F.col(vec_col).cast("array<double>").alias("v"))
-    first = fine.orderBy(F.col("i").asc_nulls_last(), "v").limit(1).collect()
+    in_order = (F.col("i").asc_nulls_last(), "v")
+    first = fine.orderBy(*in_order).limit(1).collect()
     if not first:
         return None
     size = len(first[0].v)
     if size % parts:
         raise ValueError(f"vectors of {size} components cannot be cut into {parts} equal parts")
-    rows = fine.where(F.size("v") == size).orderBy(F.col("i").asc_nulls_last(), "v").limit(entries).collect()
+    fine = fine.where(F.size("v") == size)
+    ids = fine.select("i").orderBy(F.col("i").asc_nulls_last()).limit(entries).collect()  # each task offers ids alone
+    low = fine.where(F.col("i") <= F.lit(ids[-1].i)) if ids[-1].i is not None else fine
+    rows = low.orderBy(*in_order).limit(entries).collect()
     x = to_integers(np.array([r.v for r in rows]), scale)
     return x.reshape(len(rows), parts, size // parts).transpose(1, 0, 2).copy(), size
 

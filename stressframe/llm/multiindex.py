@@ -298,7 +298,9 @@ def link_near(
         )
 
     # what is fitted on the bounded sample: codebooks, margin, balls
-    top = rows.orderBy(F.xxhash64("vec", "id"), "row").limit(sample).collect()
+    key = F.xxhash64("vec", "id")
+    few = rows.where(F.pmod(key, F.lit(n)) < 2 * sample)  # few of the rows that each task would offer otherwise
+    top = (few if n > 4 * sample else rows).orderBy(key, "row").limit(sample).collect()
     drawn = unit(np.frombuffer(b"".join(r.vec for r in top), dtype).reshape(len(top), -1).astype(np.float64))
     k = int(min(entries, max(4, math.isqrt(n // per_cell))))
     h = size // 2
