@@ -25,14 +25,18 @@ DEFAULT_SEED = 42
 HASH_BITS = 60
 
 
+def order_hash(keys: list[str], seed: int):
+    """First ``HASH_BITS`` bits of ``md5(keys|seed)`` as a long."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def hash_rank(df: DataFrame, keys: list[str], seed: int, by: tuple[str, ...], rows_per_bucket: int) -> DataFrame:
     """Add ``_rank`` (1-based, within ``by``, in ``md5(keys|seed)`` order, ties by key) and ``_n`` (group size). Buckets are hash prefixes sized from
     one count, so each window partition holds about ``rows_per_bucket`` rows."""
     n = df.count()
     bits = max(0, math.ceil(math.log2(max(1.0, n / rows_per_bucket))))
-    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
-    h = F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, HASH_BITS // 4), 16, 10).cast("long")
-    keyed = df.withColumn("_h", h).withColumn("_one", F.lit(1))
+    keyed = df.withColumn("_h", order_hash(keys, seed)).withColumn("_one", F.lit(1))
     if bits > 0:
         keyed = keyed.withColumn("_b", F.shiftright(F.col("_h"), HASH_BITS - bits))
         ranked = running_totals(keyed, ["_h", *keys], ["_one"], by=by, bucket_col="_b").drop("_b")
