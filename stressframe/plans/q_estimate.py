@@ -1,23 +1,28 @@
-"""Queries: ordered target statistics, extremely random trees, contributions."""
+"""Queries: ordered target statistics, extremely random trees, contributions, patience."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from stressframe.operators import contributions as C
 from stressframe.operators.metrics import roc_auc
+from stressframe.operators.models import materialize
 from stressframe.operators.quantile import exact_quantiles
 from stressframe.operators.random_trees import fit_extra_trees
+from stressframe.operators.split import stratified_split
+from stressframe.operators.staged import StagedTrees, chosen_rounds, staged_curve, staged_loss, with_patience
 from stressframe.operators.target_stats import fit_target_statistics, ordered_target_statistics
 from stressframe.plans.q_models import stored
 from stressframe.plans.registry import query
 from stressframe.plans.sql_fixtures import with_tables
 from stressframe.schemas import TARGET_V2
+from stressframe.session import cut_lineage, ensure_checkpoint_dir
 from stressframe.sources.derive import stress_statement
-from stressframe.session import cut_lineage
 
 W2 = with_tables("stress_statement")
 NOMINAL = ["employment_type", "customer_id"]
@@ -240,3 +245,69 @@ def q_linear_contributions_check(spark, sf_dir):
     largest = C.mean_absolute(own).agg(F.max(F.abs("mean")).alias("m")).first().m or 0.0
     close = F.abs(whole - F.col("margin")) <= 1e-6 * (1 + F.abs("margin"))
     return both.select("statement_id", F.size("contributions").alias("features"), close.alias("adds_up"), F.lit(largest < 1e-6).alias("centred"))
+
+
+# --- patience as data (MOD-5, MOD-10) ----------------------------------------------
+
+#: The gradient boosting of the five-model vote: rounds, rate, depth,
+#: share held out for patience, rounds of patience.
+GB = dict(rounds=200, rate=0.05, depth=5, held_out=0.1, patience=10)
+
+
+@stored
+def _boosted(spark, sf_dir):
+    """Spark ML boosted trees with all rounds on the earlier weeks less a stratified tenth;
+    staged margins of that tenth; the curve of its loss."""
+    s = stress_statement(spark, sf_dir).where(F.col("week_number") < SCORE_FROM)
+    s = s.select("statement_id", TARGET_V2, *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0e9)).alias(c) for c in TREE_FEATURES])
+    s = cut_lineage(stratified_split(s, TARGET_V2, "statement_id", GB["held_out"]))
+    fit = VectorAssembler(inputCols=TREE_FEATURES, outputCol="features").transform(s.where("is_test = 0")).select(TARGET_V2, "features")
+    learner = GBTClassifier(labelCol=TARGET_V2, maxIter=GB["rounds"], stepSize=GB["rate"], maxDepth=GB["depth"], seed=42)
+    model = learner.fit(materialize(fit))
+    trees = StagedTrees.from_model(model, TREE_FEATURES, f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}")
+    staged = cut_lineage(trees.staged(s.where("is_test = 1").select("statement_id", TARGET_V2, *TREE_FEATURES)))
+    return trees, staged, cut_lineage(staged_loss(staged, TARGET_V2))
+
+
+@query("patience_curve")
+def q_patience_curve(spark, sf_dir):
+    """Loss and area under the curve of the held-out tenth after every round, the best
+    round so far, and whether training with patience reaches the round."""
+    _, staged, loss = _boosted(spark, sf_dir)
+    area = staged_curve(staged, TARGET_V2).select("round", F.col("metric").alias("auc"))
+    return with_patience(loss, GB["patience"]).join(area, "round").select("round", (-F.col("metric")).alias("loss"), "auc", "best_round", "trained")
+
+
+@query(
+    "patience_check",
+    f"""{W2}, f AS (SELECT default_next_4_weeks AS y, COUNT(*) AS n FROM stress_statement WHERE week_number < 300 GROUP BY 1)
+    SELECT CAST(200 AS BIGINT) AS rounds, CAST(SUM(floor(0.1e0 * n + 0.5e0)) AS BIGINT) AS held_out, TRUE AS chosen_is_best, TRUE AS waited, TRUE AS cut_agrees FROM f""",
+)
+def q_patience_check(spark, sf_dir):
+    """The chosen round is the best one reached, training went on for the patience after it
+    (or to the last round), and the model cut there gives the staged scores of that round."""
+    trees, staged, loss = _boosted(spark, sf_dir)
+    end = chosen_rounds(loss, GB["patience"]).first()
+    reached = loss.where(F.col("round") <= end.trained_rounds)
+    top = reached.agg(F.max(F.struct("metric", (-F.col("round")).alias("r"))).alias("b")).first().b
+    waited = end.trained_rounds in (end.chosen_round + GB["patience"], GB["rounds"])
+    cut = trees.cut(end.chosen_round).staged(staged.drop("margins"), "last")
+    both = cut.select("statement_id", F.element_at("last", -1).alias("a")).join(staged.select("statement_id", F.element_at("margins", end.chosen_round).alias("b")), "statement_id")
+    return both.agg(
+        F.lit(trees.rounds()).cast("long").alias("rounds"),
+        F.count("*").alias("held_out"),
+        F.lit(-top.r == end.chosen_round).alias("chosen_is_best"),
+        F.lit(waited).alias("waited"),
+        F.bool_and(F.abs(F.col("a") - F.col("b")) < 1e-12).alias("cut_agrees"),
+    )
+
+
+@query("patience_auc")
+def q_patience_auc(spark, sf_dir):
+    """Area under the curve on the later weeks: all rounds, and cut where patience ends."""
+    trees, _, loss = _boosted(spark, sf_dir)
+    end = chosen_rounds(loss, GB["patience"]).first()
+    later = stress_statement(spark, sf_dir).where(F.col("week_number") >= SCORE_FROM)
+    later = later.select(TARGET_V2, *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0e9)).alias(c) for c in TREE_FEATURES])
+    parts = [roc_auc(t.transform(later), TARGET_V2, "probability").withColumn("rounds", F.lit(t.rounds())) for t in (trees, trees.cut(end.chosen_round))]
+    return parts[0].unionAll(parts[1])

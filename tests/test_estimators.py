@@ -161,3 +161,39 @@ def test_linear_values_and_summary(spark):
     own = C.linear_values(df, [2.0, 1.0], ["a", "b"], [1.5, -3.0], "k")
     assert {r.k: r.contributions for r in own.collect()}[3] == {"a": 3.0, "b": -3.0}
     assert [(r.feature, r.mean_abs, r["mean"]) for r in C.mean_absolute(own).collect()] == [("a", 2.0, 0.0), ("b", 2.0, 0.0)]
+
+
+def test_staged_margins_and_patience(spark, tmp_dir):
+    import duckdb
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from stressframe.operators.staged import StagedTrees, chosen_rounds, probability, staged_curve, staged_loss, with_patience
+
+    rng = random.Random(6)
+    rows = [(k, k % 2, rng.gauss(0, 1) + (k % 4 == 1), rng.random(), float(rng.randrange(3))) for k in range(240)]
+    df = spark.createDataFrame(rows, "k long, g int, a double, b double, c double").withColumn("y", (F.col("a") + F.col("c") > 1.4).cast("int"))
+    data = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+    model = GBTClassifier(labelCol="y", maxIter=6, maxDepth=3, stepSize=0.4, seed=1, maxBins=16).fit(data.where("k < 120"))
+    trees = StagedTrees.from_model(model, ["a", "b", "c"], os.path.join(tmp_dir, "gbt"))
+    trees.save(spark, os.path.join(tmp_dir, "staged"))
+    trees = StagedTrees.load(spark, os.path.join(tmp_dir, "staged"))
+    staged = trees.staged(df).withColumn("p", probability(F.element_at("margins", -1)))
+    want = {r.k: r.probability[1] for r in model.transform(data).select("k", "probability").collect()}
+    got = staged.collect()
+    assert all(abs(r.p - want[r.k]) < 1e-12 and len(r.margins) == 6 for r in got) and len(got) == 240
+    early = {r.k: r.probability for r in trees.cut(2).transform(df).collect()}
+    assert all(abs(early[r.k] - 1 / (1 + np.exp(-2 * r.margins[1]))) < 1e-12 for r in got)
+    for curve in (staged_curve(staged, "y", ("g",)), staged_loss(staged, "y", ("g",))):
+        assert curve.count() == 12
+    # the chosen round again, in SQL over the stored curve
+    metric = [(g, r, m) for g, ms in enumerate([[1, 3, 3, 2, 2, 2, 9], [5, 4, 6, 4, 7, 4, 4], [1, 2, 3, 4, 5, 6, 7], [9, 1, 1, 1, 1, 1, 1]]) for r, m in enumerate(ms, 1)]
+    curve = spark.createDataFrame(metric, "g int, round int, metric int")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE c (g INT, r INT, m INT)")
+    con.executemany("INSERT INTO c VALUES (?, ?, ?)", metric)
+    sql = """WITH b AS (SELECT g, r, m, (SELECT x.r FROM c x WHERE x.g = c.g AND x.r <= c.r ORDER BY x.m DESC, x.r LIMIT 1) AS best FROM c),
+      s AS (SELECT g, coalesce(min(r) FILTER (r - best >= 3), max(r)) AS stop FROM b GROUP BY g)
+      SELECT s.g, b.best, s.stop FROM s JOIN b ON b.g = s.g AND b.r = s.stop"""
+    assert {(r.g, r.chosen_round, r.trained_rounds) for r in chosen_rounds(curve, 3, ("g",)).collect()} == set(con.execute(sql).fetchall())
+    assert [r.trained for r in with_patience(curve.where("g = 3"), 3).orderBy("round").collect()] == [True] * 4 + [False] * 3
