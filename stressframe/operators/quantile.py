@@ -28,7 +28,7 @@ GATHER = 10_000  # distinct values of one bracket that may reach the driver
 
 
 @dataclass
-class _Target:
+class QTarget:
     """One (group, column, probability): the bracket [low, high] holds both ranks."""
 
     group: tuple
@@ -52,7 +52,7 @@ def _value(by: tuple[str, ...], group: tuple, column: int) -> Column:
     return F.when(functools.reduce(Column.__and__, same), v) if same else v
 
 
-def _narrow(data: DataFrame, by, todo: list[_Target]) -> None:
+def _narrow(data: DataFrame, by, todo: list[QTarget]) -> None:
     """Tighten the brackets of ``todo`` by approximate quantiles inside them, then count."""
     asked = []
     for i, t in enumerate(todo):
@@ -78,26 +78,61 @@ def _narrow(data: DataFrame, by, todo: list[_Target]) -> None:
             t.inside, t.low, t.below = t.below + t.inside - b, low, b
 
 
-def _targets(data: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...]) -> list[_Target]:
+def _targets(data: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...]) -> list[QTarget]:
     aggs = [F.struct(F.count(f"_v{i}").alias("n"), F.min(f"_v{i}").alias("lo"), F.max(f"_v{i}").alias("hi")).alias(f"s{i}") for i in range(len(cols))]
     out = []
     for row in data.groupBy(*by).agg(*aggs).collect():  # the caller's groups
         for i in range(len(cols)):
             s = row[f"s{i}"]
             if s["n"]:
-                out += [_Target(tuple(row[c] for c in by), i, float(p), s["n"], s["lo"], s["hi"], 0, s["n"]) for p in probs]
+                out += [QTarget(tuple(row[c] for c in by), i, float(p), s["n"], s["lo"], s["hi"], 0, s["n"]) for p in probs]
     return out
 
 
+def value_columns(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """The columns as doubles ``_v0``, ``_v1``, ... without NaN, after ``by``."""
+    x = [F.col(c).cast("double") for c in cols]
+    return df.select(*by, *[F.when(~F.isnan(v), v).alias(f"_v{i}") for i, v in enumerate(x)])
+
+
+def _count(data: DataFrame, by, targets: list[QTarget]) -> None:
+    """Values below and inside given brackets; a bracket that misses its ranks is opened."""
+    todo = list(targets)
+    while todo:
+        counts = []
+        for i, t in enumerate(todo):
+            v = _value(by, t.group, t.column)
+            counts += [F.count_if(v < t.low).alias(f"b{i}"), F.count_if((v >= t.low) & (v <= t.high)).alias(f"i{i}"),
+                       F.count(v).alias(f"n{i}"), F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
+        row, again = data.agg(*counts).first(), []
+        for i, t in enumerate(todo):
+            t.n, t.below, t.inside = row[f"n{i}"], row[f"b{i}"], row[f"i{i}"]
+            if t.n and not (t.below <= math.floor(t.pos) and math.ceil(t.pos) < t.below + t.inside):
+                t.low, t.high = row[f"l{i}"], row[f"h{i}"]
+                again.append(t)
+            elif t.n:  # no wider than the values
+                t.low, t.high = max(t.low, row[f"l{i}"]), min(t.high, row[f"h{i}"])
+        todo = again
+
+
 def quantile_rows(
     df: DataFrame, cols: list[str], probs: list[float], by: tuple[str, ...] = (), gather: int = GATHER
 ) -> list[dict]:
     """{*by, column, prob, value} for each group, column and probability; NULL and NaN
     are left out, a column without values has no row."""
     by, cols = tuple(by), list(cols)
-    x = [F.col(c).cast("double") for c in cols]
-    data = cut_lineage(df.select(*by, *[F.when(~F.isnan(v), v).alias(f"_v{i}") for i, v in enumerate(x)]))
-    targets = _targets(data, cols, probs, by)
+    data = cut_lineage(value_columns(df, cols, by))
+    return resolve(data, by, cols, _targets(data, cols, probs, by), gather)
+
+
+def resolve(data: DataFrame, by: tuple[str, ...], cols: list[str], targets: list[QTarget], gather: int = GATHER, counted: bool = True) -> list[dict]:
+    """Exact values of bracketed quantiles over ``value_columns`` data.
+
+    ``counted``: whether the brackets' counts are known already."""
+    if not counted:
+        data = cut_lineage(data)
+        _count(data, by, targets)
+        targets = [t for t in targets if t.n]
     while todo := [t for t in targets if t.low < t.high and t.inside > gather]:
         before = [t.inside for t in todo]
         _narrow(data, by, todo)

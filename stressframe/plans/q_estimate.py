@@ -17,8 +17,7 @@ from stressframe.operators.random_trees import fit_extra_trees
 from stressframe.operators.split import stratified_split
 from stressframe.operators.staged import StagedTrees, chosen_rounds, staged_curve, staged_loss, with_patience
 from stressframe.operators.target_stats import fit_target_statistics, ordered_target_statistics
-from stressframe.plans.q_models import stored
-from stressframe.plans.registry import query
+from stressframe.plans.registry import query, stored
 from stressframe.plans.sql_fixtures import with_tables
 from stressframe.schemas import TARGET_V2
 from stressframe.session import cut_lineage, ensure_checkpoint_dir

@@ -26,7 +26,7 @@ from stressframe.operators.policy import assess, risk_tier
 from stressframe.operators.split import stratified_folds, stratified_split
 from stressframe.operators.vote import soft_vote
 from stressframe.plans.q_features import transform_v1, transform_v2
-from stressframe.plans.registry import query
+from stressframe.plans.registry import query, stored
 from stressframe.plans.sql_fixtures import with_tables
 from stressframe.schemas import ID_COLUMNS, TARGET_V1, TARGET_V2, categorical_columns, numeric_columns
 from stressframe.session import cut_lineage, ensure_checkpoint_dir
@@ -37,22 +37,6 @@ KEY1, KEY2 = "customer_id", "statement_id"
 W1, W2 = with_tables("risk_customer"), with_tables("stress_statement")
 
 
-def stored(build):
-    """Keep ``build(spark, sf_dir)``'s result (checkpointed tables, fitted models) for
-    the application, so recipes that share it train once."""
-    kept: dict = {}
-
-    @functools.wraps(build)
-    def get(spark, sf_dir):
-        key = (spark.sparkContext.applicationId, str(sf_dir))
-        if key not in kept:
-            kept.clear()  # one input at a time
-            kept[key] = build(spark, sf_dir)
-        return kept[key]
-
-    return get
-
-
 # --- v2 stack ------------------------------------------------------------------
 
 def stack_input(spark, sf_dir, k: int = 5):

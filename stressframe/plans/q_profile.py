@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,13 +11,15 @@ from pyspark.sql import types as T
 from stressframe.operators import profile as P
 from stressframe.operators.encode import ImputeScale, OneHot, fill_non_finite
 from stressframe.operators.features import add_features
+from stressframe.operators.states import MomentStore, QuantileStore
 from stressframe.plans import sql_features as S
-from stressframe.plans.registry import query
+from stressframe.plans.registry import query, stored
 from stressframe.plans.sql_fixtures import with_tables
-from stressframe.schemas import TARGET_V1, V1 as V1_SCHEMA, numeric_columns
-from stressframe.sources.derive import risk_customer
+from stressframe.schemas import TARGET_V1, TARGET_V2, V1 as V1_SCHEMA, numeric_columns
+from stressframe.session import cut_lineage, ensure_checkpoint_dir
+from stressframe.sources.derive import risk_customer, stress_statement
 
-W1 = with_tables("risk_customer")
+W1, W2 = with_tables("risk_customer"), with_tables("stress_statement")
 BASE_COLS = list(S.BASE)
 # The features compared across classes (AGG-8, AGG-10) and described (AGG-11).
 HIGH_IMPACT = (
@@ -318,3 +322,69 @@ def q_selected_types(spark, sf_dir):
 def q_first_rows(spark, sf_dir):
     """First five customers in key order (SRT-4): a top-n report, the limit is the feature."""
     return P.head_by_key(risk_customer(spark, sf_dir), "customer_id", 5)
+
+
+# --- states per week, merged (AGG-7, AGG-8, AGG-10, AGG-12, FEA-27) ---------------
+
+_STATE_COLS = ["monthly_income", "savings_decline_pct", "credit_utilization_ratio", "failed_autodebit_count", "unified_stress_index"]
+_STATE_WEEKS = ((0, 120), (120, 260), (260, 1 << 30))
+
+
+def _by_weeks(spark, sf_dir, store, columns):
+    """The statements added in three lots of weeks, the middle one twice."""
+    s = cut_lineage(stress_statement(spark, sf_dir).select("week_number", TARGET_V2, *columns))
+    for lo, hi in (_STATE_WEEKS[0], _STATE_WEEKS[1], _STATE_WEEKS[1], _STATE_WEEKS[2]):
+        store.add(s.where((F.col("week_number") >= lo) & (F.col("week_number") < hi)))
+    return s
+
+
+def _store_path(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/states-{uuid.uuid4().hex}"
+
+
+@stored
+def _moments(spark, sf_dir):
+    store = MomentStore(spark, _store_path(spark), _STATE_COLS, TARGET_V2)
+    _by_weeks(spark, sf_dir, store, _STATE_COLS)
+    return store
+
+
+@query(
+    "merged_stats_by_label",
+    f"{W2} "
+    + " UNION ALL ".join(
+        f"SELECT default_next_4_weeks AS label, '{c}' AS feature, COUNT({c}) AS n, ROUND(AVG({c}), 6) AS mean, ROUND(STDDEV_SAMP({c}), 6) AS std, "
+        f"CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM stress_statement GROUP BY default_next_4_weeks"
+        for c in ("monthly_income", "savings_decline_pct", "credit_utilization_ratio", "failed_autodebit_count", "unified_stress_index")
+    ),
+)
+def q_merged_stats_by_label(spark, sf_dir):
+    """Means, deviations and ranges by label from the merged weekly states (AGG-8, AGG-10)."""
+    out = _moments(spark, sf_dir).stats()
+    return out.select("label", "feature", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max")
+
+
+@query(
+    "merged_target_correlation",
+    f"{W2} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, ROUND(CORR(CAST({c} AS DOUBLE), CAST(default_next_4_weeks AS DOUBLE)), 6) AS correlation FROM stress_statement"
+        for c in ("monthly_income", "savings_decline_pct", "credit_utilization_ratio", "failed_autodebit_count", "unified_stress_index")
+    ),
+)
+def q_merged_target_correlation(spark, sf_dir):
+    """Correlations with the label from the merged weekly states (AGG-7)."""
+    out = _moments(spark, sf_dir).correlations()
+    return out.select(F.col("column").alias("column_name"), F.round("correlation", 6).alias("correlation"))
+
+
+@query(
+    "incremental_clip_limits",
+    f"{W2}, {S.quantile_caps('stress_statement', ['unified_stress_index', 'gambling_spend', 'total_spend'], 0.99)} SELECT column_name, cap FROM caps",
+)
+def q_incremental_clip_limits(spark, sf_dir):
+    """The caps of ``clip_limits_v2`` from weekly sketches and one exact pass (AGG-12, FEA-27)."""
+    columns = ["unified_stress_index", "gambling_spend", "total_spend"]
+    store = QuantileStore(spark, _store_path(spark), columns)
+    s = _by_weeks(spark, sf_dir, store, columns)
+    return store.quantiles(s, [0.99]).select(F.col("column").alias("column_name"), F.col("value").alias("cap"))

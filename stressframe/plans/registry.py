@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,3 +26,19 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return deco
+
+
+def stored(build):
+    """Keep ``build(spark, sf_dir)``'s result (checkpointed tables, fitted models) for
+    the application, so recipes that share it train once."""
+    kept: dict = {}
+
+    @functools.wraps(build)
+    def get(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, str(sf_dir))
+        if key not in kept:
+            kept.clear()  # one input at a time
+            kept[key] = build(spark, sf_dir)
+        return kept[key]
+
+    return get
