@@ -140,7 +140,7 @@ def op10(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> Dat
     """Byte-level BPE of every whole text and back.  ``vocabulary``: path of a tokenizer file."""
     import public_tokenizers
 
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 

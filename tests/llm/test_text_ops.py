@@ -190,7 +190,7 @@ def tokenizer():
 
 def test_bpe_equals_ranks(spark, tokenizer):
     public, reference = tokenizer
-    path = public.path("byte_bpe_50k.json")
+    path = public.path("byte_bpe_50k.tiktoken")
     rows = corpus(8, 40) + [(900, "<|endoftext|> it's 'LL"), (901, " " * 999 + "x"), (902, "\x00\x00 \x00"), (903, "👩‍👩‍👧é")]
     df = frame(spark, rows, clash=True)
     got = {r.doc_id: r for r in bpe.round_trip(df, path, public.PATTERN, with_ids=True).collect()}
@@ -216,3 +216,14 @@ def test_bpe_memo_and_runs_are_bounded(tokenizer, monkeypatch):
     coder = bpe.ByteBpe(public.path("byte_bpe_50k.json"), public.PATTERN)
     ids = [i for run in coder.encode(LONG[:20_000]) for i in run]
     assert ids == reference.encode_ordinary(LONG[:20_000])
+    texts = [t for _, t in corpus(9, 60)] + [LONG[:9_000], "  a  b", " x", "x ", "\n a", " ", "a\x1cb c", "a\x00b \x00"]
+    for text, runs in zip(texts, coder.encode_many(texts), strict=True):
+        ids = [i for run in runs for i in run]
+        assert ids == reference.encode_ordinary(text or "") and coder.decode(ids) == (text or "").encode()
+
+
+def test_ranks_give_the_merges(tokenizer):
+    public, _ = tokenizer
+    ids, merges = bpe.read_vocabulary(public.path("byte_bpe_50k.tiktoken"))
+    same_ids, same_merges = bpe.read_vocabulary(public.path("byte_bpe_50k.json"))
+    assert merges == same_merges and ids.items() <= same_ids.items()
