@@ -3,14 +3,16 @@
 Texts are UTF-8 bytes with A-Z lower-cased.  An item of n bytes may differ from
 a document's passage by ``budget = floor(rate * n)`` edits.  By the q-gram lemma
 such a passage shares at least n - q + 1 - q * budget q-grams with the item, and
-all of them lie within budget + 1 neighbouring diagonals.  Hits are counted in
+all of them lie within budget + 1 neighbouring diagonals.  Each item takes the largest
+q up to ``q`` that leaves this bound at 1 or more, so short items keep their budget;
+items with one q share an index.  Hits are counted in
 overlapping bands of twice that width; bands that reach the bound are verified
 by banded alignment (item whole, passage anywhere in the band).
 
 The item index is sent to the tasks in blocks of at most ``block_bytes`` of item
 text, so its size is bounded whatever the benchmark's; documents are scanned in
-place, once for each block, with no shuffle.  Special cases: items under q bytes
-are not searched for; null items and texts hold nothing; items with equal texts
+place, once for each block, with no shuffle.  Special cases: null or empty items and
+texts hold nothing; items with equal texts
 each report; very long texts are read in overlapping windows; empty tables give
 an empty result; other columns are ignored.
 """
@@ -30,16 +32,25 @@ BITMAP_BITS = 20
 ALIGN_CELLS = 4_000_000
 
 
+def budgets(n: np.ndarray, rate: float) -> np.ndarray:
+    """Edits that items of ``n`` bytes may have."""
+    return np.floor(rate * n).astype(np.int64)
+
+
+def gram_lengths(n: np.ndarray, q: int, rate: float) -> np.ndarray:
+    """Largest gram length up to ``q`` for which n - q + 1 - q * budget is 1 or more."""
+    return np.minimum(q, n // (1 + budgets(n, rate)))
+
+
 class ItemIndex:
-    """q-gram postings of distinct items, as sorted arrays."""
+    """q-gram postings of distinct items that take grams of one length, as sorted arrays."""
 
     def __init__(self, texts: list[bytes], q: int, rate: float):
         lower = lower_table()
         self.q = q
         self.items = [lower[np.frombuffer(t, np.uint8)] for t in texts]
         self.n = np.array([len(t) for t in texts], np.int64)
-        budget = np.floor(rate * self.n).astype(np.int64)
-        self.budget = np.maximum(np.minimum(budget, (self.n - q) // q), 0)  # the bound stays at 1 or more
+        self.budget = budgets(self.n, rate)
         self.bound = self.n - q + 1 - q * self.budget
         self.width = self.budget + 1
         roller = Roller()
@@ -151,19 +162,22 @@ def _windows(data: np.ndarray, offsets: np.ndarray, overlap: int):
 
 def _search(texts: list[bytes], q: int, rate: float):
     """Function of a text column: {(row, item): (edits, end, hits)} of the passages found."""
-    index, roller, lower = ItemIndex(texts, q, rate), Roller(), lower_table()
-    overlap = 3 * int(index.n.max())
+    length = gram_lengths(np.array([len(t) for t in texts], np.int64), q, rate)
+    parts = [(ItemIndex([texts[k] for k in np.flatnonzero(length == g)], int(g), rate), np.flatnonzero(length == g)) for g in np.unique(length)]
+    roller, lower = Roller(), lower_table()
+    overlap = 3 * max(len(t) for t in texts)
 
     def find(column) -> dict[tuple[int, int], tuple[int, int, int]]:
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for first_row, data, offsets in text_slices(column):
             for part, offs, shift in _windows(lower[data], offsets, overlap):
-                row, item, low, hits = index.candidates(part, offs, roller)
-                edits, stop = index.align(part, offs, row, item, low)
-                for k in np.flatnonzero(edits <= index.budget[item]):
-                    key = (first_row + int(row[k]), int(item[k]))
-                    new = (int(edits[k]), int(stop[k]) + shift, int(hits[k]))
-                    best[key] = min(best.get(key, new), new)
+                for index, number in parts:
+                    row, item, low, hits = index.candidates(part, offs, roller)
+                    edits, stop = index.align(part, offs, row, item, low)
+                    for k in np.flatnonzero(edits <= index.budget[item]):
+                        key = (first_row + int(row[k]), int(number[item[k]]))
+                        new = (int(edits[k]), int(stop[k]) + shift, int(hits[k]))
+                        best[key] = min(best.get(key, new), new)
         return best
 
     return find
@@ -195,10 +209,10 @@ def _scan_block(docs: DataFrame, texts: list[bytes], ids: list[list[int]], id_co
     )
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, q: int, block_bytes: int):
+def item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int):
     """Yield {item text: ids}, about ``block_bytes`` of distinct texts at a time."""
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.encode(F.col(item_text_col), "UTF-8").alias("t"))
-    items = items.where(F.octet_length("t") >= q)
+    items = items.where(F.octet_length("t") > 0)
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = -(-total // block_bytes)
     for b in range(blocks):
@@ -221,7 +235,7 @@ def drop_leaks(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns, unshuffled."""
     at = docs.columns.index(text_col)
-    for of in item_blocks(benchmark, item_col, item_text_col, q, block_bytes):
+    for of in item_blocks(benchmark, item_col, item_text_col, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(sorted(of))
 
         def run(batches, sent=sent):
@@ -252,7 +266,7 @@ def find_leaks(
         f"`{id_col}`", "0L AS item_id", "0L AS edits", "0L AS stop_byte", "0L AS item_bytes"
     )
     found = []
-    for of in item_blocks(benchmark, item_col, item_text_col, q, block_bytes):
+    for of in item_blocks(benchmark, item_col, item_text_col, block_bytes):
         texts = sorted(of)
         ids = [sorted(of[t], key=lambda i: (i is None, i)) for t in texts]
         found.append(_scan_block(docs, texts, ids, id_col, text_col, q, rate))

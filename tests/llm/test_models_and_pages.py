@@ -53,24 +53,25 @@ def _mutate(rng, text, edits):
 
 def test_decontamination(spark):
     rng = random.Random(10)
-    items = [(k, re.sub(r"[^ -~]", "x", prose(rng, 14 + 3 * k))) for k in range(8)] + [(50, None), (51, "short")]
+    items = [(k, re.sub(r"[^ -~]", "x", prose(rng, 14 + 3 * k))) for k in range(8)] + [(50, None), (51, "short"), (52, "")]
+    items += [(60 + k, re.sub(r"[^ -~]", "x", prose(rng, 30))[: 12 + 4 * k].strip()) for k in range(9)]  # short: fewer grams, the same budget rule
     rows, want = [], set()
     for i in range(60):
         text = re.sub(r"[^ -~]", "x", prose(rng, rng.randrange(0, 60)))
         if i % 3 == 0:
-            k = rng.randrange(8)
+            k = rng.choice([*range(8), *range(11, 20)])
             n = len(items[k][1])
             text = text + _mutate(rng, items[k][1], rng.randrange(int(0.08 * n) + 1)).upper() + re.sub(r"[^ -~]", "x", prose(rng, 9))
         rows.append((i, text))
     for i, t in rows:
-        for k, x in items[:8]:
-            e = min(int(0.08 * len(x)), (len(x) - 10) // 10)
-            if brute.edit_distance_within(t.lower(), x.lower()) <= e:
+        for k, x in items:
+            e = int(0.08 * len(x or ""))
+            if x and brute.edit_distance_within(t.lower(), x.lower()) <= e:
                 want.add((i, k))
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = frame(spark, rows, clash=True)
     got = decontam.find_leaks(docs, bench).collect()
-    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) >= 20
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) >= 20 and any(k > 51 for _, k in want)
     low = {(r.doc_id, r.item_id): r.edits for r in got}
     for i, k in want:
         assert low[i, k] == brute.edit_distance_within(dict(rows)[i].lower(), dict(items)[k].lower())
@@ -212,6 +213,26 @@ def test_host_boilerplate(spark):
 def test_queries_registered():
     from stressframe.llm.queries import ORACLE_SQL, QUERIES
 
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
     assert SMALL
+
+
+def test_page_markup_cases(spark):
+    """Text that stays, and text that goes, in awkward markup."""
+    cases = {
+        '<article><div class="menu-card">soup of the day</div><p class=reply>he did reply</p></article>': "soup of the day\n\nhe did reply",
+        '<article><p class="share-price">41.5</p><p id="related-work">earlier work</p></article>': "41.5\n\nearlier work",
+        "<article><p>energy is <math><mi>m</mi><mi>c</mi></math> here</p></article>": "energy is mc here",
+        "<article><p>before</p><select><option>a<option>b<p>after the list</p><p>more</p></article>": "before\n\nafter the list\n\nmore",
+        "<article><script src=/a/>var x=1</script><p>only text</p></article>": "only text",
+        "<article><p>&<b>lt;</b> and &lt;b&gt;</p></article>": "&lt; and <b>",
+        '<article><p>kept</p><div class="share-buttons">tweet</div><div class="ad">buy</div><div id="comments">first!</div><p>too</p></article>': "kept\n\ntoo",
+        '<article><p>kept</p><div class="ad-slot-2">buy</div><section class="related">else</section></article>': "kept",
+        "<article><p>one</p><svg/><p>two</p><svg><text>drawn</text></svg><p>three</p></article>": "one\n\ntwo\n\nthree",
+        "<article><p>all</p><iframe src=x><p>rest</p></article>": "all\n\nrest",
+        "<article><p>text</p><script>never closed <p>code</p>": "text",
+    }
+    rows = [(k, f"https://h{k}.example/", page) for k, page in enumerate(cases)]
+    got = {r.page_id: r.text for r in pages.main_text(_pages(spark, rows)).collect()}
+    assert got == dict(enumerate(cases.values()))
