@@ -26,9 +26,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-PIECES_AT_ONCE = 100_000  # pieces held in memory before they are looked up
+PIECES_AT_ONCE = 40_000  # pieces held in memory before they are looked up
 ROWS_AT_ONCE = 256  # rows whose ids wait in one output batch
-MEMO_PIECES = 150_000  # pieces remembered in one task, and as many older ones
+MEMO_PIECES = 75_000  # pieces remembered in one task, and as many older ones
 _SEP = "\x00"
 
 
@@ -244,6 +244,7 @@ def round_trip(
     vocabulary = read_vocabulary(path)
 
     def code(batches):
+        pa.default_memory_pool().release_unused()  # of what this worker ran before
         bpe = ByteBpe(vocabulary, pattern)
         for batch in small_batches(batches):
             n, h_ids, h_raw, all_ids = [], [], [], []
