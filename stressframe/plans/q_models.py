@@ -541,11 +541,11 @@ def q_vote_ensemble_check(spark, sf_dir):
 
 @query("permutation_importance")
 def q_permutation_importance(spark, sf_dir):
-    """AUC drop when each model feature is permuted, XGBoost preset on v2 (EXP-3)."""
+    """AUC drop when each model feature is permuted, XGBoost preset with all its rounds on v2 (EXP-3)."""
     t = MD.materialize(transform_v2(spark, sf_dir))
     cats = [c for c in V2_MODEL_COLUMNS if c in categorical_columns(t)]
     prep = MD.prepare(t, TARGET_V2, list(V2_MODEL_COLUMNS), cats, keep=(KEY2,))
-    model = MD.fit_boost(prep.data, TARGET_V2, "xgb", MD.boost_params("xgb", early_stop=False, rounds=200))
+    model = MD.fit_boost(prep.data, TARGET_V2, "xgb", MD.boost_params("xgb", early_stop=False))
 
     def score(df):
         return model.transform(prep.prep_model.transform(df)).withColumn("probability", MD.prob1("xgb"))
