@@ -8,34 +8,37 @@ smooth with the same weight of evidence. A document's score is the mean over its
 words of (target loss - background loss), in nats: the lower, the more it is like
 the target.
 
-Words are counted with partial sums in the tasks. Then each document's distinct
-(word, word before) meet those of all documents in the partition of the word, where
-sums over the word and over the pair are its counts; a word's own count is also that
-of its context, so one exchange serves all. Words with more than ``1 / hot`` of all
-occurrences (fewer than ``hot``) are spread by the word before, their counts
-broadcast. A pair has at most one row a document. Losses are summed per document.
+The texts are joined with the target ids once and written as slices of some MB. A
+slice sends each distinct word and pair once, with its counts, to the bucket of its
+key (63-bit hashes, cut into ranges), so a word or pair of any frequency is one entry
+a slice. The buckets add the slices' entries and send the sums back to each of them
+in the same order; a slice then scores its own texts. Blocks of keys and counts
+travel compressed.
 
 With ``word_bits`` and ``pair_bits`` the models are tables of fixed size instead,
 over ``2**word_bits`` classes of words and ``2**pair_bits`` cells of bigrams.
 
 Special cases: null or empty text has 0 words and losses and score 0.0; without
 target documents the target model is the background model (score 0.0); rows with
-equal id and text share a score; an empty table gives an empty result; texts are
-read whole.
+equal ids are scored each by its text, equal texts score the same; a null id is never
+a target; an empty table gives an empty result; texts are read whole, a very long one
+as a slice of its own; other columns of the documents, whatever their names, are unused.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stressframe.llm.textvec import Roller, class_table, lower_table, mix, text_slices, word_spans
-from stressframe.session import cut_lineage
+from stressframe.llm.vectors import stored
 
 PIECE = 4096
-CHUNK_WORDS = 1_000_000
+SLICE_TEXT = 6 << 20  # bytes of text a slice is closed at
+SLICE_ROWS = 1 << 16
+BUCKET_TEXT = 8 << 20  # bytes of text whose keys make a bucket, on average
 NOT_SPACE = ~class_table([(0x20, 0x20), (0x09, 0x0D)])
 
 
@@ -132,109 +135,175 @@ def word_hashes(data, offsets, roller: Roller, lower):
     return row, word, before
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n, good) of documents (text, target): occurrences in all and in target documents.
-    Word 0 counts the documents with words."""
+def document_slices(docs: DataFrame, kind: str, slice_text: int) -> DataFrame:
+    """(ids, good, sizes, texts) of documents (id, target, text): neighbours as one row, texts joined and compressed."""
 
     def run(batches):
-        roller, lower = Roller(), lower_table()
-        held, size = [], 0
-
-        def flush():
-            word, mark = (np.concatenate(x) for x in zip(*held))
-            word, place = np.unique(word, return_inverse=True)
-            n, good = np.bincount(place), np.bincount(place, mark).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(word), pa.array(n), pa.array(good)], names=["word", "n", "good"])
+        held, size, rows = [], 0, 0
+
+        def finish():
+            ids, good, sizes, texts = zip(*held)
+            sizes = np.concatenate(sizes)
+            ends = [0, len(sizes)]
+            lists = (pa.concat_arrays(ids), pa.concat_arrays(good), pa.array(sizes))
+            columns = [pa.ListArray.from_arrays(ends, x) for x in lists]
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array([pa.compress(b"".join(texts), codec="zstd", asbytes=True)], pa.binary())],
+                names=["ids", "good", "sizes", "texts"],
+            )
 
         for batch in batches:
-            wanted = np.array([bool(x) for x in batch.column(1).to_pylist()], bool)
-            for first_row, data, offsets in text_slices(batch.column(0)):
-                row, word, before = word_hashes(data, offsets, roller, lower)
-                mark = wanted[first_row + row]
-                held.append((np.append(word, before[before == 0]), np.append(mark, mark[before == 0])))
-                size += len(word)
-                if size >= CHUNK_WORDS:
-                    yield flush()
-                    held, size = [], 0
+            for first, data, offsets in text_slices(batch.column(2), min(slice_text, 1 << 20)):
+                k = len(offsets) - 1
+                held.append((batch.column(0).slice(first, k), batch.column(1).slice(first, k), np.diff(offsets), data.tobytes()))
+                size, rows = size + len(data), rows + k
+                if size >= slice_text or rows >= SLICE_ROWS:
+                    yield finish()
+                    held, size, rows = [], 0, 0
         if held:
-            yield flush()
+            yield finish()
+
+    return docs.mapInArrow(run, f"ids array<{kind}>, good array<boolean>, sizes array<long>, texts binary")
+
+
+class SliceWords:
+    """Words of a slice's texts: ``row``, key of the ``word``, of its context ``before`` and of the ``pair``.
+
+    Word keys are even, pair keys odd; 0 is the start of a document."""
+
+    def __init__(self, sizes: np.ndarray, texts: bytes, roller: Roller, lower):
+        raw = pa.decompress(texts, int(sizes.sum()), codec="zstd", asbytes=True)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        column = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(raw))
+        parts = []
+        for first, data, offs in text_slices(column):
+            row, word, before = word_hashes(data, offs, roller, lower)
+            parts.append((first + row, word.view(np.uint64), before.view(np.uint64)))
+        self.row, word, before = (np.concatenate(x) for x in zip(*parts))
+        self.pair = mix(mix(before) + word) | np.uint64(1)
+        self.word, self.before = word & ~np.uint64(1), before & ~np.uint64(1)
+
+    def counts(self, good: np.ndarray):
+        """Sorted distinct keys, their occurrences in all and in target documents."""
+        every = np.concatenate([self.word, self.pair, self.before[self.before == 0]])
+        mark = good[self.row]
+        key, place, n = np.unique(every, return_inverse=True, return_counts=True)
+        return key, n, np.bincount(place, np.concatenate([mark, mark, mark[self.before == 0]]), len(key)).astype(np.int64)
 
-    return docs.mapInArrow(run, "word long, n long, good long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
 
+def to_block(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers as one compressed block, byte by byte of their places."""
+    flat = np.stack(columns).view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    raw = np.ascontiguousarray(flat).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-def document_pairs(docs: DataFrame, kind: str) -> DataFrame:
-    """(id, h, target, word, before, n, ends) of documents (id, h, target, text): each document's
-    distinct pairs, how often they occur, and how often as the document's end."""
+
+def from_block(block: bytes, columns: int) -> np.ndarray:
+    raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
+    flat = np.frombuffer(raw, np.uint8).reshape(columns, 8, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(flat).view(np.int64)[..., 0]
+
+
+def slice_counts(slices: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, slice, block): the keys of every slice in key ranges, with their counts."""
 
     def run(batches):
         roller, lower = Roller(), lower_table()
         for batch in batches:
-            for first_row, data, offsets in text_slices(batch.column(3)):
-                row, word, before = word_hashes(data, offsets, roller, lower)
-                if not len(row):
-                    continue
-                last = np.append(row[1:] != row[:-1], True)
-                order = np.lexsort((before, word, row))
-                row, word, before, last = row[order], word[order], before[order], last[order]
-                new = np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1]) | (before[1:] != before[:-1]))
-                at = np.flatnonzero(new)
-                take = pa.array(first_row + row[at])
-                n, ends = np.diff(np.append(at, len(row))), np.add.reduceat(last.astype(np.int64), at)
+            for at in range(len(batch)):
+                good, sizes = (batch.column(k)[at].values.to_numpy(zero_copy_only=False) for k in (1, 2))
+                key, n, marked = SliceWords(sizes, batch.column(3)[at].as_py(), roller, lower).counts(good)
+                bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                found, start = np.unique(bucket, return_index=True)
+                blocks = []
+                for a, z in zip(start, [*start[1:], len(key)]):
+                    gaps = np.diff(key[a:z], prepend=np.uint64(0)).view(np.int64)
+                    blocks.append(to_block(gaps, n[a:z].astype(np.int64), marked[a:z]))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(take) for k in range(3)), *(pa.array(x) for x in (word[at], before[at], n, ends))],
-                    names=["id", "h", "target", "word", "before", "n", "ends"],
+                    [pa.array(found.astype(np.int64)), pa.array([batch.column(0)[at].as_py()] * len(found), pa.int64()), pa.array(blocks, pa.binary())],
+                    names=["bucket", "slice", "block"],
                 )
 
-    return docs.mapInArrow(run, f"id {kind}, h long, target boolean, word long, before long, n long, ends long")
+    return slices.select("slice", "good", "sizes", "texts").mapInArrow(run, "bucket long, slice long, block binary")
+
+
+TOTALS = ("words", "all", "good", "starts", "good_starts")
 
 
-def exact_scores(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, alpha: float, weight: float, hot: int) -> DataFrame:
+def corpus_sums(counted: DataFrame) -> DataFrame:
+    """(slice, bucket, block, totals): the corpus-wide counts of each slice's keys, in the slice's order;
+    a bucket's totals stand in one of its rows."""
+
+    def add(table):
+        parts = [from_block(b.as_py(), 3) for b in table.column("block")]
+        key = np.concatenate([np.cumsum(p[0].view(np.uint64)) for p in parts])
+        key, place = np.unique(key, return_inverse=True)
+        n, good = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        at, blocks = 0, []
+        for p in parts:  # keys of one slice are distinct
+            own = place[at : at + p.shape[1]]
+            n[own] += p[1]
+            good[own] += p[2]
+            at += len(own)
+        at = 0
+        for p in parts:
+            own = place[at : at + p.shape[1]]
+            blocks.append(to_block(n[own], good[own]))
+            at += len(own)
+        start, word = key == 0, (key & np.uint64(1) == 0) & (key != 0)
+        totals = [word.sum(), n[word].sum(), good[word].sum(), n[start].sum(), good[start].sum()]
+        columns = {"slice": table.column("slice"), "bucket": table.column("bucket"), "block": pa.array(blocks, pa.binary())}
+        columns |= {c: pa.array([int(x)] + [0] * (len(parts) - 1), pa.int64()) for c, x in zip(TOTALS, totals)}
+        return pa.table(columns)
+
+    shape = ", ".join(f"`{c}` long" for c in TOTALS)
+    return counted.groupBy("bucket").applyInArrow(add, f"slice long, bucket long, block binary, {shape}")
+
+
+def exact_scores(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, alpha: float, weight: float, slice_text: int) -> DataFrame:
     """``cross_entropy_difference`` over real words; ``ids``: one column ``_good``."""
     kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # one plan at every size: a small id table would be broadcast, a large one shuffled
-    marked = own.join(ids.hint("merge"), F.col("id") == F.col("_good"), "left").withColumn("target", F.col("_good").isNotNull())
-    counted = cut_lineage(word_counts(marked.select("text", "target")))
-    real = F.col("word") != 0
-    total = counted.agg(
-        F.count_if(real).alias("words"),
-        *(F.coalesce(F.sum(F.when(real == r, F.col(c))), F.lit(0)).alias(k) for k, r, c in (
-            ("all", True, "n"), ("good", True, "good"), ("starts", False, "n"), ("good_starts", False, "good"))),
-    ).first()
+    marked = own.join(ids.hint("merge"), F.col("id") == F.col("_good"), "left").select("id", F.col("_good").isNotNull().alias("good"), "text")
+    slices = document_slices(marked, kind, slice_text).withColumn("slice", F.monotonically_increasing_id())
+    slices = stored(slices, "lmscore")  # the numbers of slices are those written
+    size = slices.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    summed = stored(corpus_sums(slice_counts(slices, 1 + size // BUCKET_TEXT)), "lmscore-sums")
+    total = summed.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS)).first().asDict()
     matched = total["good"] / total["all"] if total["good"] else 1.0
-    often = counted.where(real & (F.col("n") * hot > total["all"])).select("word", F.col("n").alias("hot_n"), F.col("good").alias("hot_good"))
-    pairs = document_pairs(marked.select("id", "h", "target", "text"), kind).join(F.broadcast(often), "word", "left")
-    pairs = pairs.withColumn("salt", F.when(F.col("hot_n").isNotNull(), F.col("before")).otherwise(0))
-    by_word, by_pair = Window.partitionBy("word", "salt"), Window.partitionBy("word", "salt", "before")
-    good = F.when(F.col("target"), F.col("n")).otherwise(0)
-    pairs = pairs.repartition("word", "salt").select(
-        "id", "h", "n", "ends",
-        F.sum("n").over(by_pair).alias("pair_n"), F.sum(good).over(by_pair).alias("pair_good"),
-        F.coalesce("hot_n", F.sum("n").over(by_word)).alias("word_n"), F.coalesce("hot_good", F.sum(good).over(by_word)).alias("word_good"),
-    )
-
-    def model(kind_: str, scale: float, words: int):
-        pair, word = (F.col(f"{c}_{kind_}") * F.lit(float(scale)) for c in ("pair", "word"))
-        first = (word + alpha) / (words * scale + alpha * max(1, total["words"]))
-        return F.sum((F.col("n") - F.col("ends")) * F.log(word + weight) - F.col("n") * F.log(pair + weight * first))
-
-    if total["good"]:
-        target, starts = model("good", 1.0, total["good"]), float(total["good_starts"])
-    else:
-        target, starts = model("n", 1.0, total["all"]), float(total["starts"])
-    background = model("n", matched, total["all"])
-    # rows with equal id and text add up, each with one end
-    sums = pairs.groupBy("id", "h").agg(target.alias("t"), background.alias("b"), F.sum("n").alias("n"), F.sum("ends").alias("rows"))
-    start_t, start_b = (float(np.log(x + weight)) for x in (starts, total["starts"] * matched))
-    sums = sums.select(
-        F.col("id").alias("_id"), F.col("h").alias("_h"), (F.col("n") / F.col("rows")).cast("long").alias("n_words"),
-        ((F.col("t") + F.col("rows") * start_t) / F.col("n")).alias("target_loss"),
-        ((F.col("b") + F.col("rows") * start_b) / F.col("n")).alias("background_loss"),
-    )
-    scored = own.select("id", "h").join(sums, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
-    zero = {"n_words": 0, "target_loss": 0.0, "background_loss": 0.0}
-    scored = scored.fillna(zero, list(zero)).withColumn("score", F.col("target_loss") - F.col("background_loss"))
-    return scored.select(F.col("id").alias(id_col), "n_words", "target_loss", "background_loss", "score")
+
+    def losses(count, k: int, scale: float, words: int, at_pair, at_word, at_before):
+        own = count[k] * scale
+        first = (own[at_word] + alpha) / (words * scale + alpha * max(1, total["words"]))
+        return np.log(own[at_before] + weight) - np.log(own[at_pair] + weight * first)
+
+    def score(key, found, rows):
+        if not len(rows):
+            return None
+        docs_ids = rows.column("ids")[0].values
+        good, sizes = (rows.column(c)[0].values.to_numpy(zero_copy_only=False) for c in ("good", "sizes"))
+        text = SliceWords(sizes, rows.column("texts")[0].as_py(), Roller(), lower_table())
+        keys, _, _ = text.counts(good)
+        blocks = sorted(zip(found.column("bucket").to_pylist(), found.column("block")), key=lambda x: x[0])
+        count = np.concatenate([np.zeros((2, 0), np.int64), *(from_block(b.as_py(), 2) for _, b in blocks)], axis=1)
+        pair, at, place = np.unique(text.pair, return_index=True, return_inverse=True)
+        places = [np.searchsorted(keys, x) for x in (pair, text.word[at], text.before[at])]
+        n_words = np.bincount(text.row, minlength=len(sizes))
+        target = (1, 1.0, total["good"]) if total["good"] else (0, 1.0, total["all"])
+        means = []
+        for model in (target, (0, matched, total["all"])):
+            loss = losses(count, *model, *places)
+            means.append(np.bincount(text.row, loss[place], len(sizes)) / np.maximum(n_words, 1))
+        columns = [docs_ids, *(pa.array(x) for x in (n_words, means[0], means[1], means[0] - means[1]))]
+        return pa.table(dict(zip(SCORE_COLUMNS, columns)))
+
+    shape = f"id {kind}, n_words long, target_loss double, background_loss double, score double"
+    scored = summed.groupBy("slice").cogroup(slices.groupBy("slice")).applyInArrow(score, shape)
+    return scored.withColumnRenamed("id", id_col)
+
+
+SCORE_COLUMNS = ("id", "n_words", "target_loss", "background_loss", "score")
 
 
 def cross_entropy_difference(
@@ -246,14 +315,14 @@ def cross_entropy_difference(
     pair_bits: int | None = None,
     alpha: float = 0.5,
     weight: float = 64.0,
-    hot: int = 2000,
+    slice_text: int = SLICE_TEXT,
 ) -> DataFrame:
     """One row per document: n_words, target_loss, background_loss, score.
 
     ``target_ids``: ids (first column) of the documents the target model learns from."""
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("_good")).where("_good IS NOT NULL").distinct()
     if word_bits is None or pair_bits is None:
-        return exact_scores(docs, ids, id_col, text_col, alpha, weight, hot)
+        return exact_scores(docs, ids, id_col, text_col, alpha, weight, slice_text)
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # one plan at every size: a small id table would be broadcast, a large one shuffled
     marked = own.join(ids.hint("merge"), F.col("_id") == F.col("_good"), "left").select("_text", F.col("_good").isNotNull().alias("_target"))

@@ -136,13 +136,13 @@ def test_lm_scores(spark):
         assert r.target_loss == pytest.approx(one) and r.background_loss == pytest.approx(two) and r.score == pytest.approx(one - two)
 
 
-@pytest.mark.parametrize("hot", [2000, 40])
-def test_lm_scores_of_real_words(spark, hot):
+@pytest.mark.parametrize("slice_text", [6 << 20, 2000])
+def test_lm_scores_of_real_words(spark, slice_text):
     """Against counts of real words and pairs; more distinct pairs than the former 2**18 cells."""
     rows = [*corpus(11, 30), (5000, " ".join(f"u{k}" for k in range(300_000)))]
     good = {i for i, _ in rows[::3]}
     ids = spark.createDataFrame([(i,) for i in good], "doc_id long")
-    got = {r.doc_id: r for r in lmscore.cross_entropy_difference(frame(spark, rows, clash=True), ids, **({} if hot == 2000 else {"hot": hot})).collect()}
+    got = {r.doc_id: r for r in lmscore.cross_entropy_difference(frame(spark, rows, clash=True), ids, slice_text=slice_text).collect()}
     words = {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(brute.UP)) for i, t in rows}
     every = len({w for x in words.values() for w in x})
 
