@@ -10,7 +10,8 @@ documents are scanned once, in place, with no shuffle.
 
 Special cases: null or empty text has no words, no label and score 0; texts of
 any length are scanned in one pass in memory bounded by the text; repeated rows
-give equal results; an empty table gives an empty result.
+give equal results; an empty table gives an empty result; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations

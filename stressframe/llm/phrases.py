@@ -17,7 +17,8 @@ document of a bucket is also sent to the bucket before it (the very first to the
 last).  Special cases: null or empty text has an empty fingerprint (alike 1.0 to
 another empty one, 0.0 to others); a null id comes first; rows with one id are
 ordered by a hash of their text; a single document is its own next document; an
-empty table gives an empty result; texts of any length are read whole.
+empty table gives an empty result; texts of any length are read whole; other columns,
+whatever their names, are not read; ids must be numbers.
 """
 
 from __future__ import annotations
