@@ -29,25 +29,68 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Short notices of public licences, by label.
+# Notices and whole texts of public licences, by label.
 TEMPLATES = [
     ("mit", "released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+            "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+            "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+            "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+            "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+            "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+            "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
     ("apache-2", "Licensed under the Apache License, Version 2.0"),
     ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                  "compliance with the License. You may obtain a copy of the License at"),
+    ("apache-2", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                 "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See "
+                 "the License for the specific language governing permissions and limitations under the License"),
+    ("apache-2", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+                 "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare "
+                 "Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such "
+                 "Derivative Works in Source or Object form"),
+    ("gpl-2", "licensed under the GNU General Public License, version 2"),
+    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+              "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+              "option) any later version"),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
               "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
               "option) any later version"),
+    ("lgpl", "licensed under the GNU Lesser General Public License"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+             "your option) any later version"),
+    ("agpl-3", "licensed under the GNU Affero General Public License, version 3"),
+    ("agpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+               "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+               "your option) any later version"),
     ("cc-by-nc", "licensed under CC BY-NC 4.0"),
     ("cc-by-nc", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc-by", "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
             "the following conditions are met"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+            "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+            "the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+            "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+            "DISCLAIMED"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("epl-2", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
 ]
 
 WORD = class_table([(0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF)])
@@ -128,8 +171,8 @@ class SuffixAutomaton:
 
 
 class LicenceModel:
-    def __init__(self, phrases: dict[str, str], templates, min_match: int, min_cover: float, max_gap: int):
-        self.min_match, self.min_cover, self.max_gap = min_match, min_cover, max_gap
+    def __init__(self, phrases: dict[str, str], templates, min_match: int, min_cover: float, max_gap: int, long_run: int):
+        self.min_match, self.min_cover, self.max_gap, self.long_run = min_match, min_cover, max_gap, long_run
         self.templates = [(label, words_of(text)) for label, text in templates]
         self.phrases = [(words_of(p), label) for p, label in phrases.items()]
         vocabulary = sorted({w for _, ws in self.templates for w in ws} | {w for ws, _ in self.phrases for w in ws})
@@ -170,7 +213,7 @@ class LicenceModel:
             matches.append((first + len(ids) - before[1], before[1], before[0]))
 
     def chain(self, matches: list):
-        """Per template: (covered share, first word, last word + 1) of its best chain."""
+        """Per template: (covered share, first word, last word + 1, covered words) of its best chain."""
         out = {}
         for k, (_, ws) in enumerate(self.templates):
             pieces = [(s, n, e[k] - n) for s, n, state in matches if k in (e := self.automaton.ends[state])]
@@ -187,9 +230,28 @@ class LicenceModel:
                 best.append(top)
             if best:
                 i = max(range(len(best)), key=lambda i: best[i][0])
-                out[k] = (min(1.0, best[i][0] / len(ws)), best[i][1], pieces[i][0] + pieces[i][1])
+                out[k] = (min(1.0, best[i][0] / len(ws)), best[i][1], pieces[i][0] + pieces[i][1], best[i][0])
         return out
 
+    def accept(self, chains: dict) -> dict:
+        """Chains that tell a licence: ``min_cover`` of a template, or ``long_run`` words of one
+        that fill ``min_cover`` of their span (a part of a licence's text).  Licences
+        share sentences: of chains of different labels over the same words the one that
+        covers most words counts; labels that cover as many all count."""
+        good = {
+            k: c for k, c in chains.items()
+            if c[0] >= self.min_cover or (c[3] >= self.long_run and c[3] >= self.min_cover * (c[2] - c[1]))
+        }
+
+        def told_better(k, c):
+            for j, d in good.items():
+                same = min(c[2], d[2]) - max(c[1], d[1])
+                if self.templates[j][0] != self.templates[k][0] and d[3] > c[3] and 2 * same >= c[2] - c[1]:
+                    return True
+            return False
+
+        return {k: c for k, c in good.items() if not told_better(k, c)}
+
 
 def _flags_runs(ids: np.ndarray, row: np.ndarray, shortest: int):
     """Runs of at least ``shortest`` template words inside one row: (first, last + 1)."""
@@ -213,15 +275,19 @@ def scan(
     min_match: int = 5,
     min_cover: float = 0.6,
     max_gap: int = 12,
+    long_run: int = 20,
 ) -> DataFrame:
     """One row per document: n_words, base hits, labels, covered spans and score.
 
-    A template whose best chain covers ``min_cover`` of its words adds its label.
+    A template whose best chain covers ``min_cover`` of its words, or at least ``long_run``
+    of them in a span that it fills to ``min_cover``, adds its label, unless another
+    licence covers more words there.  The score is 1 with a base phrase, else the largest
+    share of a template or, for a long run, of its span that is covered.
     ``spans`` lists (label, first word, last word + 1, covered share)."""
     phrases, templates = phrases or PHRASES, templates or TEMPLATES
 
     def run(batches):
-        model = LicenceModel(phrases, templates, min_match, min_cover, max_gap)
+        model = LicenceModel(phrases, templates, min_match, min_cover, max_gap, long_run)
         lower = lower_table()
         for batch in batches:
             n = len(batch)
@@ -245,14 +311,15 @@ def scan(
                 bases, matches = found.get(r, ([], []))
                 chains = model.chain(matches)
                 own = {model.phrases[j][1] for _, j in bases}
-                good = {k: c for k, c in chains.items() if c[0] >= min_cover}
+                good = model.accept(chains)
                 out["n_base"].append(len(bases))
                 out["first_word"].append(min((b[0] for b in bases), default=None))
                 out["last_word"].append(max((b[0] for b in bases), default=None))
                 out["base_labels"].append(",".join(sorted(own)))
                 out["labels"].append(",".join(sorted(own | {model.templates[k][0] for k in good})))
-                out["score"].append(1.0 if bases else max((c[0] for c in chains.values()), default=0.0))
-                out["spans"].append([{"label": model.templates[k][0], "start": s, "stop": e, "cover": c} for k, (c, s, e) in sorted(good.items())])
+                shares = [max(c[0], c[3] / (c[2] - c[1]) if c[3] >= long_run else 0.0) for c in chains.values()]
+                out["score"].append(1.0 if bases else min(1.0, max(shares, default=0.0)))
+                out["spans"].append([{"label": model.templates[k][0], "start": s, "stop": e, "cover": c} for k, (c, s, e, _) in sorted(good.items())])
             span = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("cover", pa.float64())]))
             yield pa.RecordBatch.from_pydict(
                 {

@@ -113,6 +113,40 @@ def test_components_path(spark):
     assert got == {**{k: 1 for k in range(1, 61)}, 100: 100, 101: 100, 102: 100}
 
 
+MIT_REST = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED"
+)
+GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as "
+    "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+
+
+def test_parts_of_licence_texts(spark):
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    rows = [
+        (1, "words before. " + MIT_REST + " and words behind", "mit"),
+        (2, GNU.format("", 2), "gpl-2"),
+        (3, GNU.format("", 3), "gpl-3"),
+        (4, GNU.format("Affero ", 3), "agpl-3"),
+        (5, GNU.format("Lesser ", "2.1").replace("program", "library"), "lgpl"),
+        (6, cc.format(""), "cc-by"),
+        (7, cc.format("-ShareAlike"), "cc-by-sa"),
+        (8, cc.format("-NonCommercial"), "cc-by-nc"),
+        (9, GNU.format("", 2) + " other words " * 20 + MIT_REST, "gpl-2,mit"),
+        (10, "the software is a program and the authors of this work are free to use, copy and sell it", ""),
+        (11, "Licensed under the GNU General Public License, version 2", "gpl-2"),
+    ]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    assert {k: r.labels for k, r in got.items()} == {r[0]: r[2] for r in rows}
+    assert all(r.spans and r.score >= 0.6 for k, r in got.items() if k != 10)
+    assert got[10].spans == [] and got[10].score < 0.6
+    words = licences.words_of(rows[0][1])
+    span = got[1].spans[0]
+    assert " ".join(words[span.start : span.stop]) == " ".join(licences.words_of(MIT_REST))
+
+
 def test_licences(spark):
     rows = corpus(5, 30) + [
         (1000, "x Released under the MIT License. y under THE mit\nlicense"),
