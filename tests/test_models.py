@@ -8,6 +8,7 @@ import os
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from stressframe.operators import boost
@@ -171,3 +172,36 @@ def test_fit_does_not_depend_on_partitions(spark, tmp_dir):
     fits[0].write().overwrite().save(path)
     a, b = (m.transform(data).select("id", MD.prob1("m").alias("p")).collect() for m in (fits[0], boost.BoostModel.load(path)))
     assert sorted(a) == sorted(b) and all(0 <= r.p <= 1 for r in a)
+
+
+def test_scorer_equals_walks():
+    """Leaf sets give the margins of the walk, for trees within every word and beyond."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(3000, 6)), 2)
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0.3).astype(float)
+    for settings in (dict(depth=3), dict(depth=4), dict(depth=6), dict(leaves=31), dict(leaves=150, depth=12)):
+        model = boost.fit_arrays(x, y, boost.Boost(rounds=140, row_rate=0.8, **settings))
+        probe = np.vstack([x, x + 0.005, [[np.nan] * 6, [np.inf] * 6, [-1e9] * 6]])
+        want = np.full(len(probe), model["base"])
+        for t in model["trees"]:
+            want += boost.walk({k: np.array(v, np.int32 if k in ("col", "left", "right") else np.float64) for k, v in t.items()}, probe, "cut")
+        scorer = boost.Scorer(model)
+        assert bool(scorer.walked) == (settings.get("leaves", 0) > 64)
+        np.testing.assert_allclose(scorer.margins(probe), want, atol=1e-9)
+
+
+def test_sample_rows_are_the_smallest_hashes(spark, monkeypatch):
+    """Per group, with copies and rows without a label; no driver collect holds the rows."""
+    rows = [(i % 2, i % 3 if i % 5 else None, [float(i // 4 % 400), float(i % 3)]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g int, label int, x array<double>").select("g", (F.col("label") == 1).cast("int").alias("y"), array_to_vector("x").alias("features"))
+    x = vector_to_array("features")
+    keyed = df.where("y IS NOT NULL").select("g", F.xxhash64(x, F.col("y").cast("double")).alias("h"), F.col("y").cast("double").alias("y"))
+    for limit in (700, 100_000):
+        got = boost.sample_rows(df, "y", ("g",), limit)
+        for g in (0, 1):
+            want = sorted((r.h, r.y) for r in keyed.where(F.col("g") == g).collect())[:limit]
+            assert sorted((r["_h"], r["_y"]) for r in got.where(F.col("g") == g).collect()) == want
+
+
+def test_fit_partitions_grow_with_full_parts_only():
+    assert [MD.fit_partitions(n) for n in (0, 10_001, 320_000, 900_000, 9_000_000)] == [1, 2, 32, 32, 36]
