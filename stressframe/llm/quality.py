@@ -7,12 +7,12 @@ an intercept (Spark ML).  The score threshold is a quantile: the cut below which
 the share of labelled rows equals the share of label 0.  Scores are moved so
 that the cut maps to ``cut_score``.
 
-Fitting uses at most ``max_labelled`` rows (those with the smallest hash of
-their id) and ``pairs_per_loser`` pairs per row of label 0; everything else,
-measures and scores, covers every row.  Special cases: null or empty text has
+Fitting uses every labelled row that may teach, with ``pairs_per_loser`` pairs per
+row of label 0; ranks, pairs, moments and the cut are distributed, and only counts, the
+weights and the cut reach the driver.  Special cases: null or empty text has
 the measures of an empty text and a score like any other; if no pair can be
 formed, every score is ``cut_score``; labels without a document, null labels
-and repeated rows do no harm; equal hashes in the sample are ordered by id; texts of any
+and repeated rows do no harm; equal hashes are ordered by id; texts of any
 length are read whole; an empty table gives an empty result; other columns, whatever
 their names, are not read (``keep_good`` returns them unchanged).
 """
@@ -25,15 +25,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stressframe.llm.textvec import Roller, class_table, text_slices, word_spans
+from stressframe.operators.prefix import running_totals
+from stressframe.operators.quantile import quantile_map
 from stressframe.session import cut_lineage
 
 MEASURES = (
     "upper", "digit", "symbol", "bang", "space", "mean_word", "mark_words", "mark_ends", "again", "distinct", "top_word", "words", "line_words",
 )
+ROWS_PER_RANGE = 50_000  # about, of a range of hashes in which rows are ranked
 SPACE = class_table([(0x20, 0x20), (0x09, 0x0D)])
 
 
@@ -121,23 +124,29 @@ def _dot(x: Column, weights: list[float]) -> Column:
     return sum((F.element_at(x, j + 1) * w for j, w in enumerate(weights)), F.lit(0.0))
 
 
-def learn(sample: DataFrame, pairs_per_loser: int, reg: float):
-    """(weights, cut) from a bounded sample (_id, _x, _y); None if a label is missing."""
-    counts = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
+def _ranked(known: DataFrame, n: int) -> DataFrame:
+    """(_x, _y, _r): 0-based rank within the label in the order of the ids' hashes, by
+    ranges of hashes, so that no task holds a whole label."""
+    bits = max(1, math.ceil(math.log2(max(1.0, n / ROWS_PER_RANGE))))
+    keyed = known.select("_x", "_y", "_id", F.xxhash64("_id").alias("_h"), F.lit(1).alias("_one"))
+    keyed = keyed.withColumn("_range", F.shiftright("_h", 64 - bits))
+    return running_totals(keyed, ["_h", "_id"], ["_one"], by=("_y",), bucket_col="_range").select("_x", "_y", (F.col("cum__one") - 1).alias("_r"))
+
+
+def learn(known: DataFrame, pairs_per_loser: int, reg: float):
+    """(weights, cut) from all rows of a stored table (_id, _x, _y); None if a label is missing."""
+    counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
     if not n0 or not n1:
         return None
-    stats = sample.select(
-        *[f(F.element_at("_x", j + 1)).alias(f"{f.__name__}{j}") for j in range(len(MEASURES)) for f in (F.stddev_pop,)]
-    ).first()
+    stats = known.select(*[F.stddev_pop(F.element_at("_x", j + 1)).alias(f"s{j}") for j in range(len(MEASURES))]).first()
     scale = [1.0 / s if s and s > 1e-9 else 0.0 for s in stats]
-    order = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")
-    ranked = sample.select("_x", "_y", (F.row_number().over(order) - 1).alias("_r"))
+    ranked = _ranked(known, n0 + n1)
     losers = ranked.where("_y = 0").select(
         F.col("_x").alias("_low"),
         F.explode(F.sequence(F.lit(0), F.lit(pairs_per_loser - 1))).alias("_k"),
         "_r",
-    ).select("_low", "_k", ((F.col("_r") * pairs_per_loser + F.col("_k")) % n1).cast("int").alias("_w"))
+    ).select("_low", "_k", ((F.col("_r") * pairs_per_loser + F.col("_k")) % n1).alias("_w"))
     winners = ranked.where("_y = 1").select(F.col("_x").alias("_high"), F.col("_r").alias("_w"))
     sign = F.when(F.col("_k") % 2 == 0, 1.0).otherwise(-1.0)
     pairs = losers.join(winners, "_w").select(
@@ -146,19 +155,18 @@ def learn(sample: DataFrame, pairs_per_loser: int, reg: float):
         ).alias("features"),
         ((sign + 1) / 2).alias("label"),
     )
-    model = LogisticRegression(fitIntercept=False, standardization=False, regParam=reg, maxIter=50).fit(pairs.coalesce(2))
+    model = LogisticRegression(fitIntercept=False, standardization=False, regParam=reg, maxIter=50).fit(pairs)
     weights = [float(w) * s for w, s in zip(model.coefficients.toArray(), scale)]
     share = (n0 - 0.5) / (n0 + n1 - 1)
-    cut = sample.select(F.percentile(_dot(F.col("_x"), weights), F.lit(share))).first()[0]
-    return weights, float(cut)
+    return weights, quantile_map(known.select(_dot(F.col("_x"), weights).alias("_m")), ["_m"], share)["_m"]
 
 
-def fit(vectors: DataFrame, labels: DataFrame, id_col: str, label_col: str, max_labelled: int, pairs_per_loser: int, reg: float):
-    """``learn`` on the labelled rows that may teach, at most ``max_labelled`` of them."""
+def fit(vectors: DataFrame, labels: DataFrame, id_col: str, label_col: str, pairs_per_loser: int, reg: float):
+    """``learn`` on all labelled rows that may teach."""
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
     marked = marked.where(F.col("_y").isin(0, 1) & ~held_out("_id"))
-    sample = vectors.join(marked, vectors[id_col] == marked["_id"]).select("_id", "_x", "_y")
-    return learn(cut_lineage(sample.orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_labelled)), pairs_per_loser, reg)
+    known = vectors.join(marked, vectors[id_col] == marked["_id"]).select("_id", "_x", "_y")
+    return learn(cut_lineage(known), pairs_per_loser, reg)
 
 
 def rate(
@@ -167,14 +175,13 @@ def rate(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    max_labelled: int = 20_000,
     pairs_per_loser: int = 8,
     reg: float = 1e-3,
     cut_score: float = 0.7,
 ) -> DataFrame:
     """(id, held_out, score, predicted) for every row of ``docs``."""
     vectors = cut_lineage(add_measures(docs, id_col, text_col))
-    model = fit(vectors, labels, id_col, label_col, max_labelled, pairs_per_loser, reg)
+    model = fit(vectors, labels, id_col, label_col, pairs_per_loser, reg)
     shift = math.log(cut_score / (1 - cut_score))
     if model is None:
         score = F.lit(cut_score)
@@ -192,12 +199,11 @@ def keep_good(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    max_labelled: int = 20_000,
     pairs_per_loser: int = 8,
     reg: float = 1e-3,
 ) -> DataFrame:
     """The rows of ``docs`` whose score reaches the cut, with all their columns, unshuffled."""
-    model = fit(add_measures(docs, id_col, text_col), labels, id_col, label_col, max_labelled, pairs_per_loser, reg)
+    model = fit(add_measures(docs, id_col, text_col), labels, id_col, label_col, pairs_per_loser, reg)
     if model is None:
         return docs
     weights, cut = np.array(model[0]), model[1]

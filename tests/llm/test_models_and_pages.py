@@ -6,13 +6,16 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.llm import brute
 from tests.llm.data import corpus, empty, frame, prose
 
 from stressframe.llm import decontam, lmscore, pages, quality
+from stressframe.session import cut_lineage
 
 
 def test_quality_held_out_accuracy(spark):
@@ -236,3 +239,21 @@ def test_page_markup_cases(spark):
     rows = [(k, f"https://h{k}.example/", page) for k, page in enumerate(cases)]
     got = {r.page_id: r.text for r in pages.main_text(_pages(spark, rows)).collect()}
     assert got == dict(enumerate(cases.values()))
+
+
+def test_every_labelled_row_teaches(spark, monkeypatch):
+    """More labelled rows than any former bound: the cut is their exact quantile, and a
+    change to any part of them changes the weights; ranks do not depend on the ranges."""
+    x = [F.rand(j + 1) + F.when(F.col("_y") == 1, 0.2).otherwise(0.0) for j in range(len(quality.MEASURES))]
+    known = spark.range(30_000).select(F.col("id").alias("_id"), (F.col("id") % 3 == 0).cast("int").alias("_y")).select("_id", F.array(*x).alias("_x"), "_y")
+    known = cut_lineage(known)
+    weights, cut = quality.learn(known, 2, 1e-3)
+    margins = np.sort([np.dot(r["_x"], weights) for r in known.collect()])
+    assert cut == pytest.approx((margins[19_999] + margins[20_000]) / 2, abs=1e-9)
+    late = known.orderBy(F.xxhash64("_id").desc()).limit(5000).select("_id", F.lit(True).alias("_late"))
+    moved = known.join(late, "_id", "left").select("_id", "_y", F.when(F.col("_late"), F.transform("_x", lambda v: -v)).otherwise(F.col("_x")).alias("_x"))
+    assert not np.allclose(quality.learn(cut_lineage(moved), 2, 1e-3)[0], weights, rtol=1e-3)
+    few = quality._ranked(known, 30_000).groupBy("_y").agg(F.count_distinct("_r").alias("n"), F.max("_r").alias("m")).collect()
+    monkeypatch.setattr(quality, "ROWS_PER_RANGE", 500)
+    many = quality._ranked(known, 30_000).groupBy("_y").agg(F.count_distinct("_r").alias("n"), F.max("_r").alias("m")).collect()
+    assert {tuple(r) for r in few} == {tuple(r) for r in many} == {(0, 20_000, 19_999), (1, 10_000, 9_999)}
