@@ -205,3 +205,21 @@ def test_sample_rows_are_the_smallest_hashes(spark, monkeypatch):
 
 def test_fit_partitions_grow_with_full_parts_only():
     assert [MD.fit_partitions(n) for n in (0, 10_001, 320_000, 900_000, 9_000_000)] == [1, 2, 32, 32, 36]
+
+
+def test_leaves_at_the_depth_limit_sum_one_column_only(monkeypatch):
+    """Leaves that are not split any more need no histogram; the trees stay the same to the bit."""
+    x, y, _ = _toy(1500)
+    settings = [boost.Boost(rounds=5, depth=4, l2=1.0, row_rate=0.8, col_rate=0.6), boost.Boost(rounds=5, depth=3, min_rows=30, l1=0.1)]
+    sums, whole = [], boost._Grower._hist
+
+    def counted(self, rows, g, h, last=False):
+        out = whole(self, rows, g, h, last)
+        sums.append(out.shape[1])
+        return out
+
+    monkeypatch.setattr(boost._Grower, "_hist", counted)
+    fits = [boost.fit_arrays(x, y, p) for p in settings]
+    assert {1, 6} == set(sums)
+    monkeypatch.setattr(boost._Grower, "_hist", lambda self, rows, g, h, last=False: whole(self, rows, g, h)[:, : 1 if last else None])
+    assert [boost.fit_arrays(x, y, p) for p in settings] == fits
