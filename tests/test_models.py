@@ -223,3 +223,45 @@ def test_leaves_at_the_depth_limit_sum_one_column_only(monkeypatch):
     assert {1, 6} == set(sums)
     monkeypatch.setattr(boost._Grower, "_hist", lambda self, rows, g, h, last=False: whole(self, rows, g, h)[:, : 1 if last else None])
     assert [boost.fit_arrays(x, y, p) for p in settings] == fits
+
+
+def test_swapped_margins_equal_margins_of_swapped_rows():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(1500, 6)), 2)
+    x[:, 5] = 1.0  # cut by no tree
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0.3).astype(float)
+    other = x[rng.permutation(len(x))]
+    for settings in (dict(depth=3), dict(depth=4), dict(depth=6), dict(leaves=150, depth=12)):
+        scorer = boost.Scorer(boost.fit_arrays(x, y, boost.Boost(rounds=140, row_rate=0.8, col_rate=0.4, **settings)))
+        got = scorer.swapped(x, other)
+        for c in range(6):
+            mixed = x.copy()
+            mixed[:, c] = other[:, c]
+            np.testing.assert_allclose(got[c], scorer.margins(mixed), atol=1e-12)
+
+
+def test_permutation_importance_scores_all_columns_in_one_pass(spark):
+    """Same areas as column by column, and the model is asked for plain scores once."""
+    from stressframe.operators.explain import permutation_importance
+
+    x, y, _ = _toy(700)
+    levels = ["low", "mid", None]
+    rows = [(int(k), int(y[k]) if k % 50 else None, levels[k % 3], *(float(v) if (k + j) % 40 else None for j, v in enumerate(x[k, :3]))) for k in range(700)]
+    df = spark.createDataFrame(rows, "id int, y int, kind string, a double, b double, c double")
+    columns = ["a", "kind", "b", "c"]
+    prep = MD.prepare(df, "y", columns, ["kind"], keep=("id",))
+    model = boost.fit_boost(prep.data, "y", "m", boost.Boost(rounds=20, depth=3))
+    calls = []
+
+    def score(t):
+        calls.append(t)
+        return model.transform(prep.prep_model.transform(t)).withColumn("probability", MD.prob1("m"))
+
+    def swapped(pairs):
+        own = prep.prep_model.transform(pairs).select("y", F.col("features").alias("_own"), *[F.col(f"_p_{c}").alias(c) for c in columns])
+        return model.swapped(prep.prep_model.transform(own), "_own", "features", "swapped")
+
+    got = permutation_importance(df, score, columns, "y", "id", score_swapped=swapped).collect()
+    assert len(calls) == 1
+    assert got == permutation_importance(df, score, columns, "y", "id").collect()
+    assert [r.feature for r in got] == columns and max(r.auc_drop for r in got) > 0.05
