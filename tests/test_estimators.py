@@ -197,3 +197,42 @@ def test_staged_margins_and_patience(spark, tmp_dir):
       SELECT s.g, b.best, s.stop FROM s JOIN b ON b.g = s.g AND b.r = s.stop"""
     assert {(r.g, r.chosen_round, r.trained_rounds) for r in chosen_rounds(curve, 3, ("g",)).collect()} == set(con.execute(sql).fetchall())
     assert [r.trained for r in with_patience(curve.where("g = 3"), 3).orderBy("round").collect()] == [True] * 4 + [False] * 3
+
+
+@pytest.mark.parametrize("distinct", [9, 4000])
+def test_fit_staged_grows_the_trees_of_spark_ml(spark, tmp_dir, distinct):
+    """Same margins after every round as Spark ML's GBT, few and many values per column, whatever
+    the order of the rows; only splits reach the driver."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from stressframe.operators.staged import StagedTrees, fit_staged
+
+    rng = np.random.default_rng(distinct)
+    x = rng.integers(0, distinct, size=(3000, 4)) / distinct
+    y = (x[:, 0] * x[:, 1] + x[:, 2] / 3 + rng.normal(size=3000) / 5 > 0.4).astype(int)
+    rows = [(i, int(y[i]), *map(float, x[i])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, y int, a double, b double, c double, d double")
+    model = GBTClassifier(labelCol="y", maxIter=8, stepSize=0.1, maxDepth=4, seed=1).fit(VectorAssembler(inputCols=list("abcd"), outputCol="features").transform(df))
+    want = StagedTrees.from_model(model, list("abcd"), f"{tmp_dir}/model").margins(x)
+    got = fit_staged(df, "y", list("abcd"), 8, 0.1, 4)
+    np.testing.assert_allclose(got.margins(x), want, atol=1e-9)
+    again = fit_staged(df.orderBy(F.rand(3)), "y", list("abcd"), 8, 0.1, 4)
+    np.testing.assert_array_equal(got.margins(x), again.margins(x))
+    flat = fit_staged(df.where("y = 1"), "y", list("abcd"), 2, 0.1, 4)  # one class: no split
+    assert (flat.feature < 0).all() and (np.diff(flat.margins(x)[:, 0]) == 0).all()
+    scored = got.transform(df).select("id", "probability").toPandas().sort_values("id")
+    np.testing.assert_allclose(scored["probability"], 1 / (1 + np.exp(-2 * got.margins(x)[:, -1])), atol=1e-12)
+
+
+def test_fit_staged_adds_up_blocks(spark, monkeypatch):
+    from stressframe.operators import staged
+
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 20, size=(2000, 2)) / 20
+    rows = [(int(a + b + rng.normal() / 9 > 1), float(a), float(b)) for a, b in x]  # some nodes are pure early
+    df = spark.createDataFrame([*rows, (None, 0.0, 0.0)], "y int, a double, b double")
+    one = staged.fit_staged(df, "y", ["a", "b"], 6, 0.1, 6)
+    monkeypatch.setattr(staged, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(staged, "AFRESH", 2)
+    np.testing.assert_allclose(staged.fit_staged(df, "y", ["a", "b"], 6, 0.1, 6).margins(x), one.margins(x), atol=1e-9)
