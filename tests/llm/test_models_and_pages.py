@@ -213,6 +213,23 @@ def test_host_boilerplate(spark):
     assert got == {0: body[0], 1: body[1], 2: body[2], 9: body[0], 8: f"{note}\n\n{body[3]}"}
 
 
+def test_blocks_beside_an_article(spark):
+    """They go through the host's suffix array as those of pages without one: what the host repeats
+    goes, the rest stays; the article's own text stays whatever other pages hold."""
+    note = "sign up for the weekly letter of this site and never miss it"
+    long = [f"part{k} " + " ".join(f"word{k}x{j}" for j in range(15)) for k in range(3)]
+    teaser = "a tale that is told on two pages of this host alike"
+    page = "<body><p>Our Site</p><p>{}</p><main><p>{}</p></main><p>{}</p><p>{}</p></body>"
+    rows = [(k, f"http://one.example/p{k}", page.format(note, f"intro {k}", long[k], teaser if k else "end of it")) for k in range(2)]
+    rows += [(2, "http://one.example/p2", f"<article><p>{teaser}</p></article>")]
+    rows += [(3, "http://two.example/p3", page.format(note, teaser, long[2], "last"))]
+    got = {r.page_id: r.text for r in pages.main_text(_pages(spark, rows)).collect()}
+    assert got == {
+        0: f"intro 0\n\n{long[0]}\n\nend of it", 1: f"intro 1\n\n{long[1]}", 2: teaser,
+        3: f"Our Site\n\n{note}\n\n{teaser}\n\n{long[2]}\n\nlast",
+    }
+
+
 def test_queries_registered():
     from stressframe.llm.queries import ORACLE_SQL, QUERIES
 
